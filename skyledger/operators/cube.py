@@ -1,0 +1,49 @@
+"""One pass over the flights for all batch queries.
+
+The five questions group by subsets of origin, destination, carrier and weekday.
+Counts and sums at that grain answer all of them, and are many orders of
+magnitude smaller than the flights, so the flights are scanned once and never
+cached.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from skyledger.functions.flights import MEAN_DIGITS
+from skyledger.operators.airports import airport_totals
+from skyledger.schema import DELAY_MEASURES
+
+CUBE_KEYS = ("Origin", "Dest", "UniqueCarrier", "DayOfWeek")
+
+
+def delay_cube(
+    df: DataFrame, keys=CUBE_KEYS, measures=DELAY_MEASURES, flight: str = "FlightNum"
+) -> DataFrame:
+    """Flight count, and sum and number of known values per measure, for each key combination."""
+    totals = [F.count(flight).alias("flights")]
+    for measure in measures:
+        totals += [F.sum(measure).alias(f"sum_{measure}"), F.count(measure).alias(f"known_{measure}")]
+    return df.groupBy(*keys).agg(*totals)
+
+
+def mean_from_cube(
+    cube: DataFrame, keys, measure: str = "ArrDelay", known_only: bool = False, digits: int = MEAN_DIGITS
+) -> DataFrame:
+    """Rounded mean per key; ``known_only`` leaves out groups without a known value."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    totals = cube.groupBy(*keys).agg(
+        F.sum(f"sum_{measure}").alias("total"), F.sum(f"known_{measure}").alias("known")
+    )
+    if known_only:
+        totals = totals.filter(F.col("known") > 0)
+    return totals.select(
+        *keys, F.round(F.try_divide("total", "known"), digits).alias("avg_delay")
+    )
+
+
+def busiest_from_cube(cube: DataFrame, origin: str = "Origin", dest: str = "Dest") -> DataFrame:
+    """Airports by departures plus arrivals, most first."""
+    routes = cube.groupBy(origin, dest).agg(F.sum("flights").alias("flights"))
+    return airport_totals(routes, origin, dest, "flights")
