@@ -14,10 +14,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.session import scratch_path
+from skyledger.session import scratch_path, send_code_with_tasks
 from skyledger.sinks.messages import to_messages
 from skyledger.sources.archives import find_archives, open_path
 
+send_code_with_tasks(__name__)
+
 # Every archive of a year divisible by this gets a second, unreadable member.
 SPOILT_EVERY = 4
 SPOILT_MEMBER = "Year,Month\n2008,1\n"

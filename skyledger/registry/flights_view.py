@@ -36,23 +36,26 @@ def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     def table(name):
         return read_table(spark, f"{sf_dir}/{name}.parquet")
 
+    def with_nation(places, key, name):
+        nation = table("nation").select(F.col("n_nationkey"), F.col("n_name").alias(name))
+        return places.join(nation, F.col(key) == F.col("n_nationkey"), "left").drop("n_nationkey")
+
+    # Dimensions are completed among themselves first, so that the line items, the
+    # one table that really grows, go through one join per foreign key.
     rows = table("lineitem")
     if {"Dest", "DepDelay", "ArrDelay"} & set(wanted):
-        rows = rows.join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        orders = table("orders")
+        if "Dest" in wanted:
+            customers = with_nation(table("customer"), "c_nationkey", "dest_name")
+            orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if "UniqueCarrier" in wanted:
         rows = rows.join(table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
     if "Origin" in wanted:
-        places = table("nation").select(F.col("n_nationkey").alias("s_place"), F.col("n_name").alias("origin_name"))
-        rows = rows.join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left").join(
-            places, F.col("s_nationkey") == F.col("s_place"), "left"
-        )
-    if "Dest" in wanted:
-        places = table("nation").select(F.col("n_nationkey").alias("c_place"), F.col("n_name").alias("dest_name"))
-        rows = rows.join(table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left").join(
-            places, F.col("c_nationkey") == F.col("c_place"), "left"
-        )
-
-    returned = F.col("l_returnflag") == "R"
+        suppliers = with_nation(table("supplier"), "s_nationkey", "origin_name")
+        rows = rows.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+
+    returned = F.col("l_returnflag").eqNullSafe("R")
     line = F.col("l_linenumber")
     no_departure, no_arrival = returned | (line == 7), returned | (line >= 6)
     ship = F.col("l_shipdate")

@@ -128,7 +128,7 @@ _SQL = {
         case when Year % 4 = 0 then 0 else count(*) end as rows_read,
         case when Year % 4 = 0 then 0 else count(*) filter (FlightNum % 11 <> 0) end as rows_kept
         from flights group by Year""",
-    "zip_ingest_manifest": f"""select {_KEY} as key, count(*) as rows from flights
+    "zip_ingest_manifest": f"""select 'days/' || {_KEY} as key, count(*) as rows from flights
         where Year % 4 <> 0 and FlightNum % 11 <> 0 group by Year, Month, DayofMonth""",
     "departures_by_origin": """select Origin, count(FlightNum) as total_departing from flights
         where Cancelled = 0 group by Origin""",

@@ -13,7 +13,7 @@ from skyledger.operators.cube import CUBE_KEYS
 from skyledger.operators.delays import by_delay
 from skyledger.plans.analytics import Answers, answer_questions, run_analytics
 from skyledger.plans.clean import clean_flights, run_clean
-from skyledger.plans.ingest import Ingest, run_ingest
+from skyledger.plans.ingest import dated_rows, run_ingest, stage_archives
 from skyledger.plans.live import run_live
 from skyledger.plans.replay import run_publish
 from skyledger.plans.report import busiest_chart, punctual_chart, run_report
@@ -170,33 +170,33 @@ def day_partitioned_roundtrip(spark, sf_dir):
 # --- archives -------------------------------------------------------------------
 
 
-def ingest_archives(spark, sf_dir) -> tuple[Ingest, str]:
-    rows = flights_with_gaps(spark, sf_dir, *ARCHIVE_FIELDS)
-    archives = write_archives(rows, "flight-archives")
-    target = scratch_path(spark, "ingested-days")
-    return run_ingest(spark, archives, target), target
+def packed_flights(spark, sf_dir) -> str:
+    """Archives of the flights, some of them damaged, some rows without a day."""
+    return write_archives(flights_with_gaps(spark, sf_dir, *ARCHIVE_FIELDS), "flight-archives")
 
 
 @query
 def zip_ingest_rows(spark, sf_dir):
-    _, target = ingest_archives(spark, sf_dir)
+    """The whole ingest, read back from the day files it wrote."""
+    target = scratch_path(spark, "ingested-days")
+    run_ingest(spark, packed_flights(spark, sf_dir), target)
     return read_day_files(spark, target, flight_schema(ARCHIVE_FIELDS))
 
 
 @query
 def zip_ingest_status(spark, sf_dir):
-    ingest, _ = ingest_archives(spark, sf_dir)
+    staged = stage_archives(spark, packed_flights(spark, sf_dir))
+    outcomes = op.with_rows_kept(op.archive_outcomes(staged), dated_rows(staged))
     pack = F.regexp_extract("archive", r"flights_(\d+)_", 1).cast("int").alias("pack")
-    return ingest.outcomes.groupBy(pack, "status").agg(
+    return outcomes.groupBy(pack, "status").agg(
         F.sum("rows_read").alias("rows_read"), F.sum("rows_kept").alias("rows_kept")
     )
 
 
 @query
 def zip_ingest_manifest(spark, sf_dir):
-    ingest, _ = ingest_archives(spark, sf_dir)
-    day = F.regexp_extract("key", r"(\d{4}/\d{2}/\d{4}_\d{2}_\d{2}\.csv)$", 1)
-    return ingest.manifest.select(day.alias("key"), "rows")
+    staged = stage_archives(spark, packed_flights(spark, sf_dir))
+    return day_manifest(dated_rows(staged), prefix="days").select("key", "rows")
 
 
 # --- traffic and delays ---------------------------------------------------------

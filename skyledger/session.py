@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
-from pyspark import SparkConf
+from pyspark import SparkConf, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution does the run-time work the operators count on: it splits
@@ -34,6 +35,12 @@ def build_session(app_name: str = "skyledger", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def send_code_with_tasks(module_name: str) -> None:
+    """Send a module's functions along with the tasks that call them, so that
+    executors need not have this package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 

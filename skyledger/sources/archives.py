@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.schema import ARCHIVE_FIELDS
-from skyledger.session import materialise
+from skyledger.session import materialise, send_code_with_tasks
 from skyledger.sources.tables import source_guard
 
+send_code_with_tasks(__name__)
+
 ROW, OK, ERROR = "ROW", "OK", "ERROR"
 CHUNK_ROWS = 50_000
 MAX_READ_TASKS = 100_000
