@@ -12,7 +12,9 @@ def active_flights(df: DataFrame, cancelled: str = "Cancelled", required: bool =
     A table without the flag passes through, unless ``required`` makes the
     missing column an error.
     """
-    if not required and cancelled not in df.columns:
+    if cancelled not in df.columns:
+        if required:
+            raise ValueError(f"no column {cancelled}")
         return df
     return df.filter(F.col(cancelled) == 0)
 
