@@ -15,42 +15,53 @@ def category_text(column: str):
     return F.coalesce(F.col(column).cast("string"), F.lit(UNKNOWN_CATEGORY))
 
 
-def number_in_order(df: DataFrame, order: str, name: str, slices: int | None = None) -> DataFrame:
-    """Number the rows 0, 1, ... in the order of a unique column, in parallel.
+def number_in_order(
+    df: DataFrame, order: str, name: str, group: str, slices: int | None = None
+) -> DataFrame:
+    """Number each group's rows 0, 1, ... in the order of a column, in parallel.
 
-    A rank over the whole table would be computed by one task. Here the rows are
-    cut into ordered slices, each slice is numbered on its own and moved up by
-    the rows before it. The slices are stored first: range borders come from
-    sampling, and a recomputed slice must not get different ones.
+    ``group`` and ``order`` together are unique, and groups are few while one may
+    hold nearly all rows. A rank per group would be computed by one task for each.
+    Here the rows are cut into ordered slices that ignore where groups begin; each
+    slice is numbered on its own and moved up by its group's rows in the slices
+    before it. The slices are stored first: range borders come from sampling, and a
+    recomputed slice must not get different ones.
     """
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = materialise(
-        df.repartitionByRange(slices, order).withColumn("slice", F.spark_partition_id()), "ordered"
+        df.repartitionByRange(slices, group, order).withColumn("slice", F.spark_partition_id()),
+        "ordered",
     )
-    # One row per slice, so both the unpartitioned window and the broadcast are
-    # bounded by the number of slices whatever the size of the data.
-    sizes = sliced.groupBy("slice").agg(F.count("*").alias("size"))
-    starts = sizes.select(
-        "slice", (F.sum("size").over(Window.orderBy("slice")) - F.col("size")).alias("start")
-    )
-    within = F.row_number().over(Window.partitionBy("slice").orderBy(order))
+    # Slices are ranges, so a group begins in one and runs on: there are fewer
+    # (group, slice) pairs than groups plus slices, whatever the size of the data.
+    sizes = sliced.groupBy(group, "slice").agg(F.count("*").alias("size"))
+    before = F.sum("size").over(Window.partitionBy(group).orderBy("slice")) - F.col("size")
+    starts = sizes.select(group, "slice", before.alias("start"))
+    within = F.row_number().over(Window.partitionBy(group, "slice").orderBy(order))
     return (
         sliced.withColumn("place", within)
-        .join(F.broadcast(starts), "slice")
+        .join(F.broadcast(starts), [group, "slice"])
         .withColumn(name, F.col("start") + F.col("place") - 1)
         .drop("slice", "place", "start")
     )
 
 
-def category_codes(df: DataFrame, column: str, slices: int | None = None) -> DataFrame:
-    """``category, code``: the distinct values of a column, sorted and numbered from 0."""
-    categories = df.select(category_text(column).alias("category")).distinct()
-    return number_in_order(categories, "category", "code", slices)
+def category_codes(df: DataFrame, *columns: str, slices: int | None = None) -> DataFrame:
+    """``column, category, code``: the distinct values of each column, sorted and
+    numbered from 0. One scan serves all columns, and each task reduces its rows to
+    its distinct values before anything is shuffled."""
+    texts = [category_text(c).alias(c) for c in columns]
+    categories = df.select(*texts).unpivot([], list(columns), "column", "category").distinct()
+    return number_in_order(categories, "category", "code", "column", slices)
 
 
 def attach_codes(df: DataFrame, codes: DataFrame, column: str, name: str) -> DataFrame:
-    """Add the code of a column; a category not in ``codes`` gets the next free code."""
-    coded = df.join(
-        codes.withColumnRenamed("code", name), category_text(column) == F.col("category"), "left"
-    ).drop("category")
-    return coded.withColumn(name, F.coalesce(F.col(name), F.lit(codes.count())))
+    """Add the code of a column; a category not in ``codes`` gets the next free code.
+
+    The code list is joined without a hint, so it is broadcast only while its
+    measured size allows it, and otherwise a frequent category's rows are split
+    over tasks by adaptive execution.
+    """
+    own = codes.filter(F.col("column") == column).select("category", F.col("code").alias(name))
+    coded = df.join(own, category_text(column) == F.col("category"), "left").drop("category")
+    return coded.withColumn(name, F.coalesce(F.col(name), F.lit(own.count())))

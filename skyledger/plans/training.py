@@ -89,14 +89,15 @@ def run_training(
     flights = read_table(spark, source)
     table = training_table(flights)
     numeric, categorical = list(MODEL_NUMERIC), list(MODEL_CATEGORICAL)
-    for column in boosting.wide_columns(table, categorical):
+    wide = boosting.wide_columns(table, categorical)
+    if wide:
         seen = table if fit_on == "all" else table.filter("in_train")
-        codes = category_codes(seen, column)
-        write_table(codes, f"{target}/codes/{column}")
-        stored = read_table(spark, f"{target}/codes/{column}")
-        table = attach_codes(table, stored, column, f"{column}_code")
-        numeric.append(f"{column}_code")
-        categorical.remove(column)
+        write_table(category_codes(seen, *wide), f"{target}/codes")
+        codes = read_table(spark, f"{target}/codes")
+        for column in wide:
+            table = attach_codes(table, codes, column, f"{column}_code")
+            numeric.append(f"{column}_code")
+            categorical.remove(column)
     trained = train_and_evaluate(table, numeric, categorical, fit_on, **model_options)
     params = {
         "objective": "binary:logistic",

@@ -12,6 +12,18 @@ from pyspark.sql import functions as F
 
 from skyledger.sources.tables import read_table
 
+# The columns used of each driver table. Stating them spares a job per table that
+# would read a file footer for the schema.
+TABLES = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_returnflag string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "part": "p_partkey bigint, p_brand string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+}
+
 COLUMNS = (
     "Year", "Month", "DayofMonth", "DayOfWeek", "DepTime", "CRSDepTime", "ArrTime", "CRSArrTime",
     "UniqueCarrier", "FlightNum", "Origin", "Dest", "Cancelled", "DepDelay", "ArrDelay",
@@ -34,7 +46,7 @@ def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     wanted = columns or COLUMNS
 
     def table(name):
-        return read_table(spark, f"{sf_dir}/{name}.parquet")
+        return read_table(spark, f"{sf_dir}/{name}.parquet", TABLES[name])
 
     def with_nation(places, key, name):
         nation = table("nation").select(F.col("n_nationkey"), F.col("n_name").alias(name))

@@ -450,10 +450,7 @@ def weighted_features(spark, sf_dir):
 @query
 def category_codes(spark, sf_dir):
     rows = flights(spark, sf_dir, "UniqueCarrier", "Origin", "Dest")
-    parts = [
-        op.category_codes(rows.select(c), c).withColumn("column", F.lit(c)) for c in rows.columns
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return op.category_codes(rows, *rows.columns)
 
 
 @query

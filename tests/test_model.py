@@ -62,10 +62,19 @@ def test_collapsed_rows_keep_the_total(spark):
 def test_codes_number_the_sorted_values(spark, values, slices):
     df = spark.createDataFrame([(v,) for v in values], "c string")
     want = sorted({"None" if v is None else v for v in values})
-    got = op.category_codes(df, "c", slices)
+    got = op.category_codes(df, "c", slices=slices).select("category", "code")
     assert rows_of(got) == list(zip(want, range(len(want))))
 
 
+def test_codes_of_several_columns_come_from_one_scan(spark):
+    df = spark.range(1000).select(
+        F.concat(F.lit("k"), F.col("id").cast("string")).alias("wide"), (F.col("id") % 3).alias("narrow")
+    )
+    got = rows_of(op.category_codes(df, "wide", "narrow", slices=7))
+    keys = sorted(f"k{i}" for i in range(1000))
+    assert got == [("narrow", str(i), i) for i in range(3)] + [("wide", k, i) for i, k in enumerate(keys)]
+
+
 def test_unseen_category_gets_the_next_code(spark):
     seen = spark.createDataFrame([("b",), ("a",), (None,)], "c string")
     codes = op.category_codes(seen, "c")
@@ -165,6 +174,6 @@ def test_wide_category_is_trained_as_a_number(spark, tmp_path, monkeypatch):
     planted(spark, 3000).write.parquet(source)
     trained = run_training(spark, source, target, trees=2, max_depth=3)
     assert "Origin_code" in trained.scored.columns
-    assert rows_of(spark.read.parquet(f"{target}/codes/Origin")) == [(f"O{i}", i) for i in range(5)]
+    assert rows_of(spark.read.parquet(f"{target}/codes").filter("column = 'Origin'").drop("column")) == [(f"O{i}", i) for i in range(5)]
     with pytest.raises(ValueError, match="Origin"):
         op.fit_delay_model(training_table(planted(spark, 3000)), trees=1)
