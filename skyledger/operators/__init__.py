@@ -8,7 +8,6 @@ from skyledger.operators.airports import (
 )
 from skyledger.operators.boosting import fit_delay_model, load_model, save_model, score_flights
 from skyledger.operators.categories import attach_codes, category_codes, number_in_order
-from skyledger.operators.cube import busiest_from_cube, delay_cube, mean_from_cube
 from skyledger.operators.delays import mean_delay, row_counts
 from skyledger.operators.features import (
     collapse_rows,
@@ -27,6 +26,12 @@ from skyledger.operators.outcomes import (
 from skyledger.operators.ranking import best_at, top_carriers, top_destinations, top_per_group
 from skyledger.operators.repair import drop_incomplete, ensure_columns, fill_missing
 from skyledger.operators.selection import active_flights, at_airport, departed_flights
+from skyledger.operators.totals import (
+    busiest_from_totals,
+    delay_totals,
+    mean_from_totals,
+    of_grouping,
+)
 
 __all__ = [
     "active_flights",
@@ -36,13 +41,13 @@ __all__ = [
     "attach_codes",
     "best_at",
     "busiest_airports",
-    "busiest_from_cube",
+    "busiest_from_totals",
     "category_codes",
     "classification_metrics",
     "collapse_rows",
     "combine_departures_arrivals",
-    "delay_cube",
     "delay_features",
+    "delay_totals",
     "departed_flights",
     "departures_by_origin",
     "drop_incomplete",
@@ -51,8 +56,9 @@ __all__ = [
     "fit_delay_model",
     "load_model",
     "mean_delay",
-    "mean_from_cube",
+    "mean_from_totals",
     "number_in_order",
+    "of_grouping",
     "offline_features",
     "outcome_counts",
     "roc_auc",

@@ -6,11 +6,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.operators.cube import busiest_from_cube, delay_cube, mean_from_cube
 from skyledger.operators.delays import by_delay
 from skyledger.operators.features import offline_features
 from skyledger.operators.ranking import rank_within
 from skyledger.operators.selection import active_flights
+from skyledger.operators.totals import (
+    ORIGIN_CARRIER,
+    ROUTE,
+    WEEKDAY,
+    busiest_from_totals,
+    delay_totals,
+    mean_from_totals,
+    of_grouping,
+)
 from skyledger.plans.clean import CLEANED_PATH
 from skyledger.session import materialise
 from skyledger.sinks.tables import write_table
@@ -34,25 +42,27 @@ class Answers:
     top_destinations: DataFrame
 
 
-def answers_from_cube(cube: DataFrame) -> Answers:
-    """All five questions from per-combination totals."""
+def answers_from_totals(totals: DataFrame) -> Answers:
+    """All five questions from the totals per grouping."""
+    by_carrier = of_grouping(totals, ORIGIN_CARRIER)
+    by_weekday = of_grouping(totals, WEEKDAY)
 
-    def ranked(key):
-        means = mean_from_cube(cube, ["Origin", key], "DepDelay", known_only=True)
-        return rank_within(means, "Origin", key)
+    def ranked(grouping):
+        means = mean_from_totals(of_grouping(totals, grouping), grouping, "DepDelay", known_only=True)
+        return rank_within(means, *grouping)
 
     return Answers(
-        busiest_airports=busiest_from_cube(cube),
-        delay_by_carrier=by_delay(mean_from_cube(cube, "UniqueCarrier"), "UniqueCarrier"),
-        delay_by_weekday=by_delay(mean_from_cube(cube, "DayOfWeek"), "DayOfWeek"),
-        top_carriers=ranked("UniqueCarrier"),
-        top_destinations=ranked("Dest"),
+        busiest_airports=busiest_from_totals(totals),
+        delay_by_carrier=by_delay(mean_from_totals(by_carrier, "UniqueCarrier"), "UniqueCarrier"),
+        delay_by_weekday=by_delay(mean_from_totals(by_weekday, "DayOfWeek"), "DayOfWeek"),
+        top_carriers=ranked(ORIGIN_CARRIER),
+        top_destinations=ranked(ROUTE),
     )
 
 
 def answer_questions(flights: DataFrame) -> Answers:
-    """Scan the active flights once into a stored cube and answer from there."""
-    return answers_from_cube(materialise(delay_cube(active_flights(flights)), "delay-cube"))
+    """Scan the active flights once into stored totals and answer from there."""
+    return answers_from_totals(materialise(delay_totals(active_flights(flights)), "delay-totals"))
 
 
 def run_analytics(

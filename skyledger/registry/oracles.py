@@ -155,10 +155,13 @@ _SQL = {
     "top_destinations_by_origin": _top("Dest"),
     "top_carriers_at_airport": f"select * from ({_top('UniqueCarrier', 5)}) where Origin = '{AIRPORT}'",
     "top_destinations_at_airport": f"select * from ({_top('Dest', 5)}) where Origin = '{AIRPORT}'",
-    "delay_cube": """select Origin, Dest, UniqueCarrier, DayOfWeek, count(FlightNum) as flights,
+    "delay_totals": """select Origin, Dest, UniqueCarrier, DayOfWeek,
+        cast(grouping(Origin, Dest, UniqueCarrier, DayOfWeek) as integer) as "grouping",
+        count(FlightNum) as flights,
         sum(ArrDelay) as "sum_ArrDelay", count(ArrDelay) as "known_ArrDelay",
         sum(DepDelay) as "sum_DepDelay", count(DepDelay) as "known_DepDelay"
-        from flights where Cancelled = 0 group by Origin, Dest, UniqueCarrier, DayOfWeek""",
+        from flights where Cancelled = 0
+        group by grouping sets ((Origin, Dest), (Origin, UniqueCarrier), (DayOfWeek))""",
     "all_questions": f"""
         select 'busiest_airports' as question, airport as first_key, cast(null as varchar) as second_key,
                cast(total_flights as double) as value from ({_AIRPORT_TOTALS})

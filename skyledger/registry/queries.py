@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from skyledger import operators as op
 from skyledger.functions import scheduled_hour
-from skyledger.operators.cube import CUBE_KEYS
 from skyledger.operators.delays import by_delay
 from skyledger.plans.analytics import Answers, answer_questions, run_analytics
 from skyledger.plans.clean import clean_flights, run_clean
@@ -291,9 +290,13 @@ def top_destinations_at_airport(spark, sf_dir):
     return op.best_at(top_destinations_by_origin(spark, sf_dir), AIRPORT)
 
 
+QUESTION_KEYS = ("Origin", "Dest", "UniqueCarrier", "DayOfWeek")
+
+
 @query
-def delay_cube(spark, sf_dir):
-    return op.delay_cube(active(spark, sf_dir, *CUBE_KEYS, "FlightNum", *DELAY_MEASURES))
+def delay_totals(spark, sf_dir):
+    totals = op.delay_totals(active(spark, sf_dir, *QUESTION_KEYS, "FlightNum", *DELAY_MEASURES))
+    return totals.withColumn("grouping", F.col("grouping").cast("int"))
 
 
 def long_answers(answers: Answers) -> DataFrame:
@@ -322,7 +325,7 @@ def long_answers(answers: Answers) -> DataFrame:
 
 def analytics_input(spark, sf_dir):
     return flights(
-        spark, sf_dir, "Month", "Cancelled", *CUBE_KEYS, "FlightNum", *DELAY_MEASURES
+        spark, sf_dir, "Month", "Cancelled", *QUESTION_KEYS, "FlightNum", *DELAY_MEASURES
     )
 
 

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from skyledger import operators as op
-from skyledger.operators.cube import busiest_from_cube, mean_from_cube
+from skyledger.operators.totals import ORIGIN_CARRIER
 from skyledger.plans.analytics import answer_questions
 
 ROUTES = [
@@ -127,7 +127,7 @@ def brute_top(rows, key):
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(FLIGHTS)
-def test_direct_and_cube_answers_match_plain_python(make_flights, rows):
+def test_direct_and_one_pass_answers_match_plain_python(make_flights, rows):
     columns = list(rows[0])
     df = make_flights(rows, columns)
     live = [r for r in rows if r["Cancelled"] == 0]
@@ -164,9 +164,18 @@ def test_direct_and_cube_answers_match_plain_python(make_flights, rows):
         assert set(collected) == want
 
 
-def test_cube_keeps_nan_visible(spark, make_flights):
-    df = make_flights([dict(Origin="A", Dest="B", UniqueCarrier="X", DayOfWeek=1, FlightNum=1, ArrDelay=float("nan"), DepDelay=1.0)])
-    cube = op.delay_cube(df)
-    assert str(mean_from_cube(cube, "UniqueCarrier").first()["avg_delay"]) == "nan"
+def test_totals_keep_nan_visible(make_flights):
+    nan = dict(Origin="A", Dest="B", UniqueCarrier="X", DayOfWeek=1, FlightNum=1, ArrDelay=float("nan"), DepDelay=1.0)
+    df = make_flights([nan])
+    totals = op.delay_totals(df)
+    carriers = op.of_grouping(totals, ORIGIN_CARRIER)
+    assert str(op.mean_from_totals(carriers, "UniqueCarrier").first()["avg_delay"]) == "nan"
     assert str(op.mean_delay(df, "UniqueCarrier").first()["avg_delay"]) == "nan"
-    assert busiest_from_cube(cube).count() == 0
+    assert op.busiest_from_totals(totals).count() == 0
+    assert rows_of(totals.groupBy("grouping").count().select("count")) == [(1,)] * 3
+
+
+def test_flights_are_scanned_once_for_all_questions(make_flights):
+    df = make_flights([dict(Origin="A", Dest="B", UniqueCarrier="X", DayOfWeek=1, FlightNum=1, ArrDelay=1.0, DepDelay=1.0)])
+    plan = op.delay_totals(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("Exchange") == 1
