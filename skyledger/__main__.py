@@ -6,10 +6,12 @@ import argparse
 import os
 
 from skyledger import plans
+from skyledger.operators import outcome_counts
 from skyledger.plans.analytics import ANALYTICS_DIR
 from skyledger.plans.clean import CLEANED_PATH, RAW_PATH
 from skyledger.plans.report import CHART_AIRPORT
 from skyledger.session import build_session
+from skyledger.sinks import write_table
 from skyledger.sources.messages import DEFAULT_BROKERS, DEFAULT_TOPIC
 from skyledger.streaming import wait_for_all, wait_for_any
 
@@ -28,6 +30,7 @@ def parser() -> argparse.ArgumentParser:
     job("clean", "raw delimited flights to a cleaned table", RAW_PATH, CLEANED_PATH)
     ingest = job("ingest", "zip archives to day files")
     ingest.add_argument("--bucket", default="")
+    ingest.add_argument("--report", help="store the outcomes and the manifest as tables here")
     job("analytics", "answer the batch questions", CLEANED_PATH, ANALYTICS_DIR)
     report = job("report", "chart tables from the stored answers", ANALYTICS_DIR, f"{ANALYTICS_DIR}/visuals")
     report.add_argument("--airport", default=CHART_AIRPORT)
@@ -40,6 +43,7 @@ def parser() -> argparse.ArgumentParser:
     publish.add_argument("--format", default="kafka")
     publish.add_argument("--path")
     publish.add_argument("--files-per-batch", type=int)
+    publish.add_argument("--every", help="shortest time between batches, as '500 milliseconds'")
     live = jobs.add_parser("live", help="running mean delays from a topic, or from message files")
     live.add_argument("--messages", help="folder of message files instead of a topic")
     live.add_argument("--tables", help="keep the results as tables here instead of printing them")
@@ -58,7 +62,10 @@ def main(arguments: list[str] | None = None) -> None:
         plans.run_clean(spark, args.source, args.target)
     elif args.job == "ingest":
         done = plans.run_ingest(spark, args.source, args.target, bucket=args.bucket)
-        done.outcomes.orderBy("status", "archive").show(truncate=False)
+        outcome_counts(done.outcomes).show()
+        if args.report:
+            write_table(done.outcomes, f"{args.report}/outcomes")
+            write_table(done.manifest, f"{args.report}/manifest")
     elif args.job == "analytics":
         answers = plans.run_analytics(spark, args.source, args.target)
         answers.busiest_airports.show(5)
@@ -73,7 +80,7 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.job == "publish":
         plans.run_publish(
             spark, args.source, args.brokers, args.topic, args.format, args.path,
-            args.files_per_batch, args.checkpoint,
+            args.files_per_batch, args.checkpoint, args.every,
         )
     else:
         source = {}

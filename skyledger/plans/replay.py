@@ -19,11 +19,12 @@ def run_publish(
     path: str | None = None,
     files_per_batch: int | None = None,
     checkpoint: str | None = None,
+    every: str | None = None,
 ) -> None:
     """Publish every row as a JSON object of strings.
 
-    With ``files_per_batch`` the files go out batch by batch, which bounds the
-    rate; otherwise all at once, limited by the broker.
+    With ``files_per_batch`` the files go out batch by batch, and with ``every`` at
+    most one batch per interval; otherwise all at once, limited by the broker.
     """
     options = kafka_target(brokers, topic) if format == "kafka" else {}
     records = read_text_records(spark, source)
@@ -32,4 +33,11 @@ def run_publish(
         return
     stream = text_record_stream(spark, source, records.columns, files_per_batch)
     checkpoint = checkpoint or scratch_path(spark, "publish")
-    publish_stream(stream, checkpoint, format, path, **options).awaitTermination()
+    query = publish_stream(stream, checkpoint, format, path, every, **options)
+    if every is None:
+        query.awaitTermination()
+        return
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()

@@ -1,15 +1,23 @@
 """Writers: tables, day files with their manifest, messages, run log, live tables."""
 
 from skyledger.sinks.day_files import day_manifest, read_day_files, write_day_files
-from skyledger.sinks.live import console_sink, live_table_sink, memory_sink
+from skyledger.sinks.live import (
+    changed_groups_sink,
+    console_sink,
+    latest_groups,
+    live_table_sink,
+    memory_sink,
+)
 from skyledger.sinks.messages import publish_batch, publish_stream, to_messages
 from skyledger.sinks.run_log import append_run, read_runs, run_entries
 from skyledger.sinks.tables import preview, write_table
 
 __all__ = [
     "append_run",
+    "changed_groups_sink",
     "console_sink",
     "day_manifest",
+    "latest_groups",
     "live_table_sink",
     "memory_sink",
     "preview",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 
@@ -41,3 +42,27 @@ def live_table_sink(running: DataFrame, path: str, checkpoint: str) -> DataStrea
         .option("checkpointLocation", checkpoint)
         .foreachBatch(replace)
     )
+
+
+def changed_groups_sink(running: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Store, per micro-batch, only the groups it changed.
+
+    For keys with very many values, where writing every group each time would cost
+    more than the batch itself. A replayed batch replaces its own folder.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        running.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(store)
+    )
+
+
+def latest_groups(changes: DataFrame, key: str) -> DataFrame:
+    """The current state from stored changes: each group as of its last batch."""
+    values = [c for c in changes.columns if c not in (key, "batch")]
+    last = F.max_by(F.struct(*values), F.col("batch")).alias("last")
+    return changes.groupBy(key).agg(last).select(key, "last.*")

@@ -30,14 +30,25 @@ def publish_batch(df: DataFrame, format: str = "kafka", path: str | None = None,
 
 
 def publish_stream(
-    df: DataFrame, checkpoint: str, format: str = "kafka", path: str | None = None, **options
+    df: DataFrame,
+    checkpoint: str,
+    format: str = "kafka",
+    path: str | None = None,
+    every: str | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Send the rows of a stream as they arrive, at the rate its source allows."""
+    """Send the rows of a stream, batch by batch as its source cuts them.
+
+    Without ``every`` the batches follow one another and the query ends with the
+    input. With it (``"500 milliseconds"``) a batch is sent per interval, which
+    limits the rate, and the query goes on until it is stopped.
+    """
     writer = (
         to_messages(df)
         .writeStream.format(format)
         .options(**options)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
     )
-    return writer.start(path)
+    if every is None:
+        return writer.trigger(availableNow=True).start(path)
+    return writer.trigger(processingTime=every).start(path)

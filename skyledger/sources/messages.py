@@ -19,8 +19,13 @@ def kafka_options(
     topic: str = DEFAULT_TOPIC,
     starting_offsets: str = "earliest",
     max_per_trigger: int | None = None,
+    min_tasks: int | None = None,
 ) -> dict[str, str]:
-    """Options of the Kafka reader; ``max_per_trigger`` bounds one micro-batch."""
+    """Options of the Kafka reader.
+
+    ``max_per_trigger`` bounds one micro-batch. ``min_tasks`` cuts the offset range
+    of a topic partition that holds most of the messages into several tasks.
+    """
     options = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": topic,
@@ -28,6 +33,8 @@ def kafka_options(
     }
     if max_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    if min_tasks is not None:
+        options["minPartitions"] = str(min_tasks)
     return options
 
 

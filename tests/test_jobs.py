@@ -55,7 +55,10 @@ def test_command_line_ingest(spark, tmp_path, capsys):
 
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.zip").write_bytes(zipped(a__csv=GOOD))
-    main(["ingest", "--source", str(tmp_path / "in"), "--target", str(tmp_path / "out")])
+    main(["ingest", "--source", str(tmp_path / "in"), "--target", str(tmp_path / "out"),
+          "--report", str(tmp_path / "report")])
+    assert rows_of(spark.read.parquet(str(tmp_path / "report" / "manifest")).select("rows")) == [(1,)]
+    assert spark.read.parquet(str(tmp_path / "report" / "outcomes")).first()["status"] == "OK"
     assert "OK" in capsys.readouterr().out
     assert os.path.isdir(tmp_path / "out" / "y=2008" / "m=01" / "d=2008_01_15")
 

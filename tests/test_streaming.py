@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 
 from skyledger import operators as op
 from skyledger.plans import run_live, run_publish
-from skyledger.sinks import console_sink, memory_sink, publish_batch, to_messages
+from skyledger.sinks import (
+    changed_groups_sink,
+    console_sink,
+    latest_groups,
+    memory_sink,
+    publish_batch,
+    to_messages,
+)
 from skyledger.sources import file_messages, read_text_records, text_record_stream
 from skyledger.sinks.messages import kafka_target, publish_stream
 from skyledger.sources.messages import kafka_options
@@ -44,9 +51,9 @@ def test_messages_keep_nulls(spark):
 
 
 def test_kafka_settings():
-    assert kafka_options("h1:1,h2:2", "t", max_per_trigger=10_000) == {
+    assert kafka_options("h1:1,h2:2", "t", max_per_trigger=10_000, min_tasks=64) == {
         "kafka.bootstrap.servers": "h1:1,h2:2", "subscribe": "t",
-        "startingOffsets": "earliest", "maxOffsetsPerTrigger": "10000",
+        "startingOffsets": "earliest", "maxOffsetsPerTrigger": "10000", "minPartitions": "64",
     }
     assert "maxOffsetsPerTrigger" not in kafka_options()
     assert kafka_target("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "topic": "t"}
@@ -125,3 +132,42 @@ def test_publishing_stops_at_the_given_files_per_batch(spark, raw_folder, tmp_pa
     query = publish_stream(stream, str(tmp_path / "state"), "text", str(tmp_path / "topic"))
     query.awaitTermination(120)
     assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [80, 80, 40]
+
+
+def test_at_most_one_batch_per_interval(spark, raw_folder, tmp_path):
+    import time
+
+    start = time.monotonic()
+    run_publish(spark, raw_folder, format="text", path=str(tmp_path / "topic"), files_per_batch=1, every="1 second")
+    assert time.monotonic() - start > 3
+    assert spark.read.text(str(tmp_path / "topic")).count() == 200
+
+
+def test_changed_groups_give_the_same_state(spark, raw_folder, tmp_path):
+    topic, changes = str(tmp_path / "topic"), str(tmp_path / "changes")
+    run_publish(spark, raw_folder, format="text", path=topic)
+
+    def sink(running, key):
+        return changed_groups_sink(running, changes, str(tmp_path / "state"))
+
+    queries = start_live_delays(file_messages(spark, topic, 1), sink, ("DayOfWeek",), True)
+    wait_for_all(queries, 120)
+    stored = spark.read.parquet(changes)
+    assert stored.select("batch").distinct().count() > 1
+    assert rows_of(latest_groups(stored, "DayOfWeek")) == batch_answer(spark, raw_folder, "DayOfWeek")
+
+
+def test_a_failing_query_stops_the_others(spark, raw_folder, tmp_path):
+    topic = str(tmp_path / "topic")
+    run_publish(spark, raw_folder, format="text", path=topic)
+
+    def sink(running, key):
+        if key == "DayOfWeek":
+            return memory_sink(running, str(tmp_path / "a"), "kept")
+        broken = running.withColumn("x", F.raise_error(F.lit("broken on purpose")))
+        return memory_sink(broken, str(tmp_path / "b"), "broken")
+
+    queries = start_live_delays(file_messages(spark, topic), sink)
+    with pytest.raises(Exception, match="broken on purpose"):
+        wait_for_all(queries, 60)
+    assert not any(q.isActive for q in queries)
