@@ -97,16 +97,47 @@ def test_outcomes_rows_days_and_manifest(spark, archives, tmp_path):
     ]
 
 
-def test_small_chunks_give_the_same_rows(spark, tmp_path):
+def read_one(spark, folder, text, **options):
     from skyledger.sources.archives import list_members, read_members
 
-    body = "".join(f"2008,1,{1 + i % 28},2,1,1,1,1,WN,{i}\n" for i in range(100))
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.zip").write_bytes(zipped(a__csv=HEADER + body))
-    members = list_members(find_archives(spark, str(tmp_path / "in")))
-    rows = read_members(members, chunk_rows=7)
-    assert rows.filter("outcome = 'ROW'").count() == 100
-    assert [r["rows_read"] for r in rows.filter("outcome = 'OK'").collect()] == [100]
+    folder.mkdir()
+    (folder / "a.zip").write_bytes(zipped(a__csv=text))
+    rows = read_members(list_members(find_archives(spark, str(folder))), **options)
+    closing = rows.filter("outcome <> 'ROW'").first()
+    return rows.filter("outcome = 'ROW'"), closing
+
+
+def test_small_batches_give_the_same_rows(spark, tmp_path):
+    body = "".join(f"2008,1,{1 + i % 28},2,1,1,1,1,WN,{i}\n" for i in range(1000))
+    rows, closing = read_one(spark, tmp_path / "in", HEADER + body, batch_bytes=500)
+    assert sorted(int(r["FlightNum"]) for r in rows.collect()) == list(range(1000))
+    assert (closing["outcome"], closing["rows_read"]) == ("OK", 1000)
+
+
+def test_short_rows_late_in_a_member_are_padded_and_nothing_repeats(spark, tmp_path):
+    lines = [f"2008,1,{1 + i % 28},2,1,1,1,1,WN,{i}" for i in range(1000)]
+    lines[700] = "2008,1,1,2"
+    rows, closing = read_one(spark, tmp_path / "in", HEADER + "\n".join(lines) + "\n", batch_bytes=500)
+    numbers = [r["FlightNum"] for r in rows.collect()]
+    assert numbers.count(None) == 1
+    assert sorted(int(n) for n in numbers if n) == [i for i in range(1000) if i != 700]
+    assert (closing["outcome"], closing["rows_read"]) == ("OK", 1000)
+
+
+def test_fields_beyond_the_header_are_left_out(spark, tmp_path):
+    rows, closing = read_one(spark, tmp_path / "in", GOOD + GOOD.splitlines()[1] + ",too,many\n")
+    assert [r["FlightNum"] for r in rows.collect()] == ["101", "101"]
+    assert (closing["outcome"], closing["rows_read"]) == ("OK", 2)
+
+
+def test_quoted_line_breaks_and_an_empty_member(spark, tmp_path):
+    quoted = GOOD.replace("WN", '"W\n""N"')
+    rows, _ = read_one(spark, tmp_path / "in", quoted)
+    assert [r["UniqueCarrier"] for r in rows.collect()] == ['W\n"N']
+    rows, closing = read_one(spark, tmp_path / "header", HEADER)
+    assert rows.count() == 0 and (closing["outcome"], closing["rows_read"]) == ("OK", 0)
+    _, closing = read_one(spark, tmp_path / "empty", "")
+    assert closing["outcome"] == "ERROR"
 
 
 def test_members_of_one_archive_are_read_by_several_tasks(spark, tmp_path):
