@@ -34,23 +34,25 @@ def airport_totals(routes: DataFrame, origin: str, dest: str, flights: str) -> D
     Having both is a matter of rows, not of their counts: an airport whose flight
     numbers are all unknown is kept with a total of zero.
     """
-    ends = routes.select(
-        F.explode(
-            F.array(
-                F.struct(F.col(origin).alias("airport"), F.lit(1).alias("out"), F.lit(0).alias("in"), F.col(flights).alias("flights")),
-                F.struct(F.col(dest).alias("airport"), F.lit(0).alias("out"), F.lit(1).alias("in"), F.col(flights).alias("flights")),
-            )
-        ).alias("end")
-    ).select("end.*")
+
+
+    def end(airport, departing):
+        return F.struct(
+            F.col(airport).alias("airport"),
+            F.lit(departing).alias("departing"),
+            F.col(flights).alias("flights"),
+        )
+
+    ends = routes.select(F.inline(F.array(end(origin, True), end(dest, False))))
     return (
         ends.filter(F.col("airport").isNotNull())
         .groupBy("airport")
         .agg(
             F.sum("flights").alias("total_flights"),
-            F.max("out").alias("departs"),
-            F.max("in").alias("arrives"),
+            F.bool_or("departing").alias("departs"),
+            F.bool_or(~F.col("departing")).alias("arrives"),
         )
-        .filter((F.col("departs") == 1) & (F.col("arrives") == 1))
+        .filter(F.col("departs") & F.col("arrives"))
         .select("airport", "total_flights")
         .orderBy(F.desc("total_flights"), "airport")
     )

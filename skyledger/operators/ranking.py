@@ -12,7 +12,9 @@ from skyledger.operators.selection import at_airport
 PLACES = 10
 
 
-def rank_within(means: DataFrame, group: str, key: str, n: int = PLACES, measure: str = "avg_delay") -> DataFrame:
+def rank_within(
+    means: DataFrame, group: str, key: str, n: int = PLACES, measure: str = "avg_delay"
+) -> DataFrame:
     """First ``n`` keys of each group by the measure, ties in key order.
 
     The order is total within a group. Spark cuts every task's rows to ``n`` per

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from skyledger.registry.fixtures import SPOILT_YEARS
 from skyledger.registry.flights_view import FLIGHTS_SQL
 from skyledger.registry.queries import AIRPORT, RUN_ID
 
@@ -17,7 +18,9 @@ def _over_flights(sql: str) -> str:
     return f"with flights as ({FLIGHTS_SQL})\n{sql}"
 
 
-_GAPS = "case when FlightNum % 11 <> 0 then DayofMonth end"
+# Flights that left and never arrived, whose day the archive queries take as unknown.
+_DATED = "not (DepTime is not null and ArrTime is null)"
+_READABLE = f"Year not in {SPOILT_YEARS}"
 _KEY = "printf('%04d/%02d/%04d_%02d_%02d.csv', Year, Month, Year, Month, DayofMonth)"
 
 _AIRPORT_TOTALS = """
@@ -109,8 +112,8 @@ _SQL = {
     "fill_missing_delays": """select FlightNum, Cancelled, coalesce(ArrDelay, 0.0) as ArrDelay,
         coalesce(DepDelay, 0.0) as DepDelay from flights""",
     "add_missing_columns": "select FlightNum, UniqueCarrier, ArrDelay, 0.0::double as DepDelay from flights",
-    "drop_null_dates": """select Year, Month, DayofMonth, FlightNum from flights
-        where FlightNum % 11 <> 0 and Year is not null and Month is not null and DayofMonth is not null""",
+    "drop_null_dates": f"""select {_ARCHIVED} from flights where {_DATED}
+        and Year is not null and Month is not null and DayofMonth is not null""",
     "csv_clean_roundtrip": _CLEANED,
     "csv_projected_scan": f"select {_ARCHIVED} from flights",
     "csv_text_records": """select cast(FlightNum as varchar) as FlightNum, UniqueCarrier,
@@ -123,13 +126,13 @@ _SQL = {
         count(distinct (Year, Month, DayofMonth)) as written_days from flights""",
     "day_partitioned_roundtrip": f"select {_ARCHIVED} from flights",
     "zip_ingest_rows": f"""select {_ARCHIVED} from flights
-        where Year % 4 <> 0 and FlightNum % 11 <> 0""",
-    "zip_ingest_status": """select Year as pack, case when Year % 4 = 0 then 'ERROR' else 'OK' end as status,
-        case when Year % 4 = 0 then 0 else count(*) end as rows_read,
-        case when Year % 4 = 0 then 0 else count(*) filter (FlightNum % 11 <> 0) end as rows_kept
+        where {_READABLE} and {_DATED}""",
+    "zip_ingest_status": f"""select Year as pack, case when {_READABLE} then 'OK' else 'ERROR' end as status,
+        case when {_READABLE} then count(*) else 0 end as rows_read,
+        case when {_READABLE} then count(*) filter ({_DATED}) else 0 end as rows_kept
         from flights group by Year""",
     "zip_ingest_manifest": f"""select 'days/' || {_KEY} as key, count(*) as rows from flights
-        where Year % 4 <> 0 and FlightNum % 11 <> 0 group by Year, Month, DayofMonth""",
+        where {_READABLE} and {_DATED} group by Year, Month, DayofMonth""",
     "departures_by_origin": """select Origin, count(FlightNum) as total_departing from flights
         where Cancelled = 0 group by Origin""",
     "arrivals_by_dest": """select Dest, count(FlightNum) as total_arriving from flights
@@ -188,7 +191,8 @@ _SQL = {
         and Origin is not null and Dest is not null and Month is not null and DayOfWeek is not null""",
     "delay_features": f"""select Month, DayOfWeek, cast(floor(CRSDepTime / 100) as integer) as DepHour,
         UniqueCarrier, Origin, Dest, {_LABEL} as IsDelayed, FlightNum
-        from flights where Cancelled = 0 and CRSDepTime is not null""",
+        from flights where Cancelled = 0 and DepTime is not null""",
+    "flights_without_hour": "select count(*) as rows from flights where Cancelled = 0 and DepTime is null",
     "weighted_features": f"""select DayOfWeek, UniqueCarrier, {_LABEL} as IsDelayed,
         cast(count(*) as double) as weight from flights
         where Cancelled = 0 and CRSDepTime is not null group by all""",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skyledger import operators as op
 from skyledger.functions import scheduled_hour
 from skyledger.operators.delays import by_delay
+from skyledger.operators.features import rows_without_hour
 from skyledger.plans.analytics import Answers, answer_questions, run_analytics
 from skyledger.plans.clean import clean_flights, run_clean
 from skyledger.plans.ingest import dated_rows, run_ingest, stage_archives
@@ -107,16 +108,16 @@ def add_missing_columns(spark, sf_dir):
     return op.ensure_columns(rows)
 
 
-def flights_with_gaps(spark, sf_dir, *columns):
-    """Flights of which some have lost their day."""
-    rows = flights(spark, sf_dir, *columns)
-    return rows.withColumn("DayofMonth", F.when(F.col("FlightNum") % 11 != 0, F.col("DayofMonth")))
+def flights_with_gaps(spark, sf_dir):
+    """The archived fields, with the day unknown for flights that left and never arrived."""
+    rows = flights(spark, sf_dir, *ARCHIVE_FIELDS)
+    lost = F.col("DepTime").isNotNull() & F.col("ArrTime").isNull()
+    return rows.withColumn("DayofMonth", F.when(~lost, F.col("DayofMonth")))
 
 
 @query
 def drop_null_dates(spark, sf_dir):
-    rows = flights_with_gaps(spark, sf_dir, "Year", "Month", "DayofMonth", "FlightNum")
-    return op.drop_incomplete(rows, ("Year", "Month", "DayofMonth"))
+    return op.drop_incomplete(flights_with_gaps(spark, sf_dir), ("Year", "Month", "DayofMonth"))
 
 
 # --- delimited files ------------------------------------------------------------
@@ -171,7 +172,7 @@ def day_partitioned_roundtrip(spark, sf_dir):
 
 def packed_flights(spark, sf_dir) -> str:
     """Archives of the flights, some of them damaged, some rows without a day."""
-    return write_archives(flights_with_gaps(spark, sf_dir, *ARCHIVE_FIELDS), "flight-archives")
+    return write_archives(flights_with_gaps(spark, sf_dir), "flight-archives")
 
 
 @query
@@ -438,9 +439,24 @@ def model_input(spark, sf_dir):
     )
 
 
+def unscheduled_flights(spark, sf_dir):
+    """Model input with the scheduled time unknown where the departure is unknown too."""
+    rows = flights(
+        spark, sf_dir, "Month", "DayOfWeek", "CRSDepTime", "DepTime", "UniqueCarrier", "FlightNum",
+        "Origin", "Dest", "Cancelled", "ArrDelay",
+    )
+    known = F.col("DepTime").isNotNull()
+    return rows.withColumn("CRSDepTime", F.when(known, F.col("CRSDepTime")))
+
+
 @query
 def delay_features(spark, sf_dir):
-    return op.delay_features(model_input(spark, sf_dir), carry=("FlightNum",))
+    return op.delay_features(unscheduled_flights(spark, sf_dir), carry=("FlightNum",))
+
+
+@query
+def flights_without_hour(spark, sf_dir):
+    return rows_without_hour(unscheduled_flights(spark, sf_dir))
 
 
 @query

@@ -71,11 +71,3 @@ def read_text_records(spark: SparkSession, path: str) -> DataFrame:
     raw = _scan_text(spark, path)
     return raw.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns])
 
-
-__all__ = [
-    "MissingColumnsError",
-    "read_flight_csv",
-    "read_flight_fields",
-    "read_text_records",
-    "type_fields",
-]

@@ -52,16 +52,18 @@ def start_live_delays(
     sink: Callable[[DataFrame, str], DataStreamWriter],
     keys=LIVE_KEYS,
     available_now: bool = False,
+    measure: str = "ArrDelay",
 ) -> list[StreamingQuery]:
     """Start one query per key over the same source.
 
     ``sink`` takes the running table and the key and returns the writer. Each
-    query has its own offsets, state and checkpoint, so each can restart alone.
+    query has its own offsets, state and checkpoint, so each can restart alone, and
+    takes from the messages only the fields it needs.
     """
-    parsed = parse_messages(messages)
     queries = []
     for key in keys:
-        writer = sink(running_delay(parsed, key), key)
+        parsed = parse_messages(messages, fields=(key, measure), numeric=(measure,))
+        writer = sink(running_delay(parsed, key, measure), key)
         if available_now:
             writer = writer.trigger(availableNow=True)
         queries.append(writer.start())
