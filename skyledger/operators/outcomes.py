@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.session import materialise
 from skyledger.sources.archives import ERROR, OK, ROW
 
 
@@ -28,13 +29,17 @@ def with_rows_kept(outcomes: DataFrame, kept: DataFrame) -> DataFrame:
     )
 
 
-def rows_of_good_archives(staged: DataFrame) -> DataFrame:
+def rows_of_good_archives(staged: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Data rows without those of archives that failed anywhere.
 
-    The failed names are one row per archive. If an archive holds a large share
-    of the rows, adaptive execution splits its side of the anti join.
+    The names of failed archives are stored first. Their size is then known when
+    the anti join is planned, and as long as it is small the rows are not shuffled
+    at all. Left as part of the plan, the names would be weighed by the size of the
+    staged table.
     """
-    failed = archive_outcomes(staged).filter(F.col("status") == ERROR).select("archive")
+    failed = materialise(
+        outcomes.filter(F.col("status") == ERROR).select("archive"), "failed-archives"
+    )
     rows = staged.filter(F.col("outcome") == ROW).drop("outcome", "error", "rows_read")
     return rows.join(failed, "archive", "left_anti")
 

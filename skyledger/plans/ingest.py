@@ -36,18 +36,26 @@ def stage_archives(
     """Unpack every archive once into a stored table of text rows and outcomes.
 
     An archive counts only if all of it could be read, which is known after its
-    last member. The rows therefore go to a table first, split by outcome, and
-    those of failed archives are taken out afterwards without unpacking again.
+    last member. The rows therefore go to a table first, and those of failed
+    archives are taken out afterwards without unpacking again. A member closes with
+    its outcome, so the stored row groups hold almost only data and a query for the
+    outcomes skips them by their statistics. Partitioning the table by outcome
+    would make every task sort all of its rows first.
     """
     members = spread_members(list_members(find_archives(spark, root), opener=opener))
-    return materialise(
-        read_members(members, fields, opener=opener), "archive-rows", partition_by=("outcome",)
-    )
+    return materialise(read_members(members, fields, opener=opener), "archive-rows")
+
 
+def stored_outcomes(staged: DataFrame) -> DataFrame:
+    """One stored row per archive."""
+    return materialise(archive_outcomes(staged), "archive-outcomes")
 
-def dated_rows(staged: DataFrame, fields=ARCHIVE_FIELDS, date_key=DATE_KEY) -> DataFrame:
+
+def dated_rows(
+    staged: DataFrame, outcomes: DataFrame, fields=ARCHIVE_FIELDS, date_key=DATE_KEY
+) -> DataFrame:
     """Typed rows of good archives whose date is known."""
-    rows = rows_of_good_archives(staged)
+    rows = rows_of_good_archives(staged, outcomes)
     return drop_incomplete(type_fields(rows, fields), date_key)
 
 
@@ -65,10 +73,11 @@ def run_ingest(
     before the touched days are replaced, so none overwrites another.
     """
     staged = stage_archives(spark, source, fields, opener)
-    kept = dated_rows(staged, fields)
+    outcomes = stored_outcomes(staged)
+    kept = dated_rows(staged, outcomes, fields)
     rows = kept.select(*fields)
     write_day_files(rows, target)
     return Ingest(
-        outcomes=with_rows_kept(archive_outcomes(staged), kept),
+        outcomes=with_rows_kept(outcomes, kept),
         manifest=day_manifest(rows, prefix=target, bucket=bucket),
     )

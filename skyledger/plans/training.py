@@ -42,10 +42,10 @@ def training_table(flights: DataFrame, keys=ROW_KEY) -> DataFrame:
     """Stored, weighted distinct model rows with their side of the split.
 
     One scan of the flights; all boosting rounds and the evaluation then work on
-    this table, each reading only its side.
+    this table.
     """
     rows = delay_features(with_split(flights, keys), carry=("in_train",))
-    return materialise(collapse_rows(rows), "training-rows", partition_by=("in_train",))
+    return materialise(collapse_rows(rows), "training-rows")
 
 
 def train_and_evaluate(

@@ -205,6 +205,10 @@ _SQL = {
         dense_rank() over (order by coalesce(UniqueCarrier, 'None')) - 1 as carrier_code from flights""",
     "train_test_split_counts": f"""select bucket, bucket < 8 as in_train, count(*) as rows
         from (select {_BUCKET} as bucket from flights) group by bucket""",
+    "gbt_scored_rows": f"""select Month, DayOfWeek, cast(floor(CRSDepTime / 100) as integer) as DepHour,
+        UniqueCarrier, Origin, Dest, {_LABEL} as IsDelayed, cast(count(*) as double) as weight,
+        true as is_probability, true as agrees from flights
+        where Cancelled = 0 and CRSDepTime is not null and {_BUCKET} >= 8 group by all""",
     "classification_metrics": _METRICS,
     "roc_auc": f"""select {_round('''
           (sum(case when IsDelayed = 1 then mean_rank else 0 end)

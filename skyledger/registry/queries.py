@@ -13,14 +13,21 @@ from skyledger.operators.delays import by_delay
 from skyledger.operators.features import rows_without_hour
 from skyledger.plans.analytics import Answers, answer_questions, run_analytics
 from skyledger.plans.clean import clean_flights, run_clean
-from skyledger.plans.ingest import dated_rows, run_ingest, stage_archives
+from skyledger.plans.ingest import dated_rows, run_ingest, stage_archives, stored_outcomes
 from skyledger.plans.live import run_live
 from skyledger.plans.replay import run_publish
 from skyledger.plans.report import busiest_chart, punctual_chart, run_report
 from skyledger.plans.training import train_and_evaluate, training_table
 from skyledger.registry.fixtures import write_archives, write_messages, write_raw_csv
 from skyledger.registry.flights_view import flights
-from skyledger.schema import ARCHIVE_FIELDS, DELAY_MEASURES, STREAM_FIELDS, flight_schema
+from skyledger.schema import (
+    ARCHIVE_FIELDS,
+    DELAY_MEASURES,
+    MODEL_CATEGORICAL,
+    MODEL_NUMERIC,
+    STREAM_FIELDS,
+    flight_schema,
+)
 from skyledger.session import scratch_path
 from skyledger.sinks import (
     append_run,
@@ -186,7 +193,8 @@ def zip_ingest_rows(spark, sf_dir):
 @query
 def zip_ingest_status(spark, sf_dir):
     staged = stage_archives(spark, packed_flights(spark, sf_dir))
-    outcomes = op.with_rows_kept(op.archive_outcomes(staged), dated_rows(staged))
+    outcomes = stored_outcomes(staged)
+    outcomes = op.with_rows_kept(outcomes, dated_rows(staged, outcomes))
     pack = F.regexp_extract("archive", r"flights_(\d+)_", 1).cast("int").alias("pack")
     return outcomes.groupBy(pack, "status").agg(
         F.sum("rows_read").alias("rows_read"), F.sum("rows_kept").alias("rows_kept")
@@ -196,7 +204,8 @@ def zip_ingest_status(spark, sf_dir):
 @query
 def zip_ingest_manifest(spark, sf_dir):
     staged = stage_archives(spark, packed_flights(spark, sf_dir))
-    return day_manifest(dated_rows(staged), prefix="days").select("key", "rows")
+    rows = dated_rows(staged, stored_outcomes(staged))
+    return day_manifest(rows, prefix="days").select("key", "rows")
 
 
 # --- traffic and delays ---------------------------------------------------------
@@ -532,3 +541,15 @@ def gbt_scores(spark, sf_dir):
     trained = train_and_evaluate(table, trees=3, max_depth=4)
     path = op.save_model(trained.model, scratch_path(spark, "model"))
     return op.score_flights(op.load_model(path), table.filter("NOT in_train"))
+
+
+@query
+def gbt_scored_rows(spark, sf_dir):
+    """Which rows the model scored, and whether every score is a probability that
+    agrees with its class; the digits of the scores are the model's own."""
+    scored = gbt_scores(spark, sf_dir)
+    return scored.select(
+        *MODEL_NUMERIC, *MODEL_CATEGORICAL, "IsDelayed", "weight",
+        F.col("probability").between(0, 1).alias("is_probability"),
+        ((F.col("probability") > 0.5).cast("int") == F.col("prediction")).alias("agrees"),
+    )

@@ -63,13 +63,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/skyledger/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str, partition_by=()) -> DataFrame:
+def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     The table outlives lost executors, so whatever is built on it restarts from
     a columnar file scan and never from the beginning of the lineage.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.partitionBy(*partition_by).parquet(path)
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    return stored.select(*df.columns)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

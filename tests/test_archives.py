@@ -5,7 +5,7 @@ import pytest
 from conftest import rows_of
 
 from skyledger.operators import outcome_counts
-from skyledger.plans.ingest import dated_rows, run_ingest, stage_archives
+from skyledger.plans.ingest import dated_rows, run_ingest, stage_archives, stored_outcomes
 from skyledger.schema import ARCHIVE_FIELDS, flight_schema
 from skyledger.sinks import read_day_files
 from skyledger.sources import MissingSourceError, find_archives
@@ -158,4 +158,10 @@ def test_no_archives_at_all(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "x.txt").write_text("x")
     staged = stage_archives(spark, str(tmp_path / "in"))
-    assert dated_rows(staged).count() == 0
+    assert dated_rows(staged, stored_outcomes(staged)).count() == 0
+
+
+def test_rows_are_not_shuffled_to_take_out_failed_archives(spark, archives):
+    staged = stage_archives(spark, archives)
+    plan = dated_rows(staged, stored_outcomes(staged))._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti, BuildRight" in plan and "hashpartitioning" not in plan

@@ -21,8 +21,23 @@ def test_shared_folder_is_the_configured_one(spark):
 
 def test_materialised_table_has_the_same_rows_and_columns(spark):
     df = spark.createDataFrame([(1, "a", None), (2, None, 0.5)], "n int, k string, x double")
-    stored = materialise(df, "t", partition_by=("k",))
-    assert stored.columns == df.columns and rows_of(stored) == rows_of(df)
+    stored = materialise(df, "t")
+    assert stored.dtypes == df.dtypes and rows_of(stored) == rows_of(df)
+
+
+def test_a_cluster_session_needs_the_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
 
 
 def test_command_line_from_raw_file_to_report(spark, tmp_path, capsys):
