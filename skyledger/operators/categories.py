@@ -58,10 +58,13 @@ def category_codes(df: DataFrame, *columns: str, slices: int | None = None) -> D
 def attach_codes(df: DataFrame, codes: DataFrame, column: str, name: str) -> DataFrame:
     """Add the code of a column; a category not in ``codes`` gets the next free code.
 
-    The code list is joined without a hint, so it is broadcast only while its
-    measured size allows it, and otherwise a frequent category's rows are split
-    over tasks by adaptive execution.
+    The code list is stored first, so its size is known when the join is planned:
+    it is broadcast only while that size allows it, and otherwise a frequent
+    category's rows are split over tasks by adaptive execution.
     """
-    own = codes.filter(F.col("column") == column).select("category", F.col("code").alias(name))
+    own = materialise(
+        codes.filter(F.col("column") == column).select("category", F.col("code").alias(name)),
+        "codes",
+    )
     coded = df.join(own, category_text(column) == F.col("category"), "left").drop("category")
     return coded.withColumn(name, F.coalesce(F.col(name), F.lit(own.count())))
