@@ -63,6 +63,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/skyledger/{label}-{uuid.uuid4().hex}"
 
 
+# A task that wrote far more than the others leaves several files, so that the next
+# stage can share its rows out again.
+MAX_FILE_ROWS = 5_000_000
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
@@ -70,5 +75,5 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     a columnar file scan and never from the beginning of the lineage.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

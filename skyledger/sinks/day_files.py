@@ -18,12 +18,12 @@ def _with_layout(df: DataFrame, date_key) -> DataFrame:
     taken = {c.lower() for c in df.columns} & set(LAYOUT)
     if taken:
         raise ValueError(f"columns {sorted(taken)} are used for the directory layout")
-    year, month, day = (F.col(c).cast("int") for c in date_key)
+    day = F.format_string(LAYOUT["d"], *[F.col(c).cast("int") for c in date_key])
     return df.withColumns(
         {
-            "y": F.format_string(LAYOUT["y"], year),
-            "m": F.format_string(LAYOUT["m"], month),
-            "d": F.format_string(LAYOUT["d"], year, month, day),
+            "y": F.substring_index(day, "_", 1),
+            "m": F.substring_index(F.substring_index(day, "_", 2), "_", -1),
+            "d": day,
         }
     )
 
@@ -38,9 +38,9 @@ def write_day_files(df: DataFrame, path: str, date_key=DATE_KEY) -> str:
 
     Rows whose date is not known belong to no day; drop them first.
     """
-    keyed = _with_layout(df, date_key)
+    by_day = df.hint("rebalance", *[F.col(c) for c in date_key])
     (
-        keyed.hint("rebalance", *[F.col(c) for c in LAYOUT])
+        _with_layout(by_day, date_key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", "true")

@@ -24,7 +24,7 @@ def test_missing_tokens_become_null(spark):
 
 
 def test_numbers_and_whole_numbers(spark):
-    df = one_column(spark, ["-14", "12.5", "1430.0", "NA", "abc", "99999999999", None])
+    df = one_column(spark, ["-14", "12.5", "1430.0", "NA", "abc", "99999999999", None, "7.00", "0.0", "100", "10.50", "NaN"])
     got = df.select(
         fn.to_number(F.col("x")), fn.to_whole(F.col("x")), fn.to_whole(F.col("x"), "bigint")
     ).collect()
@@ -36,9 +36,20 @@ def test_numbers_and_whole_numbers(spark):
         (None, None, None),
         (99999999999.0, None, 99999999999),
         (None, None, None),
+        (7.0, 7, 7),
+        (0.0, 0, 0),
+        (100.0, 100, 100),
+        (10.5, None, None),
+        (None, None, None),
     ]
 
 
+def test_no_missing_token_reads_as_a_number(spark):
+    df = one_column(spark, list(fn.MISSING_TOKENS))
+    got = df.select(fn.to_number(F.col("x")), fn.to_whole(F.col("x")), fn.to_whole(F.col("x"), "bigint"))
+    assert {tuple(r) for r in got.collect()} == {(None, None, None)}
+
+
 def test_label_treats_unknown_as_on_time(spark):
     df = one_column(spark, [None, math.nan, 15.0, 15.5, -3.0, math.inf], "double")
     got = [r[0] for r in df.select(fn.is_delayed(F.col("x"))).collect()]
