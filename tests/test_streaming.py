@@ -2,6 +2,7 @@ import json
 
 import pytest
 from conftest import rows_of
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from skyledger import operators as op
@@ -59,6 +60,12 @@ def test_kafka_settings():
     assert kafka_target("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "topic": "t"}
 
 
+def test_the_topic_is_the_default_source(spark):
+    """The connector is not on the test class path, so Spark must ask for it by name."""
+    with pytest.raises(AnalysisException, match="kafka"):
+        run_live(spark, brokers="localhost:9092", topic="flights")
+
+
 @pytest.fixture
 def raw_folder(tmp_path):
     folder = tmp_path / "raw"
