@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.textbytes import Words, chunks_of, ranges, rolling_hashes, utf8_texts
+from skyledger.llm.textbytes import Words, chunks_of, ranges, rolling_hashes, spark_hash, utf8_texts
 from skyledger.session import send_code_with_tasks
 
 send_code_with_tasks(__name__)
@@ -24,14 +24,22 @@ SEND_BYTES = 4 << 20
 # A document without id comes after all others and so never removes anything.
 LAST_ID = np.iinfo(np.int64).max
 
-# Rows between the steps: windows of several documents, run-length coded. ``order`` is
-# the doc_id that decides, ``row_key`` finds the rows again, ``home`` is their group.
-PACKED = (
-    "grp bigint, settled boolean, orders binary, row_keys binary, homes binary, "
-    "counts binary, hashes binary"
-)
-PACKED_TYPES = [pa.int64(), pa.bool_()] + [pa.binary()] * 5
-PACKED_NAMES = ["grp", "settled", "orders", "row_keys", "homes", "counts", "hashes"]
+# Rows between the steps: windows of several documents, run-length coded. ``orders`` are
+# the doc_ids that decide, and with ``row_keys`` they find the rows again.
+PACKED = "grp bigint, settled boolean, orders binary, row_keys binary, counts binary, hashes binary"
+PACKED_TYPES = [pa.int64(), pa.bool_()] + [pa.binary()] * 4
+PACKED_NAMES = ["grp", "settled", "orders", "row_keys", "counts", "hashes"]
+
+
+def _shrunk(values: np.ndarray) -> bytes:
+    """Whole numbers as differences, in the narrowest type that holds them."""
+    steps = np.diff(values, prepend=0)
+    kind = next(k for k in "bhiq" if k == "q" or (np.iinfo(k).min <= steps.min() and steps.max() <= np.iinfo(k).max))
+    return kind.encode() + steps.astype(kind).tobytes()
+
+
+def _grown(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(raw, dtype=raw[:1].decode(), offset=1), dtype=np.int64)
 
 
 def window_hashes(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -41,32 +49,35 @@ def window_hashes(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     return rolled[ranges(words.first[:-1], per_text)], per_text
 
 
-def _pack(group: np.ndarray, settled: bool, order, key, home, hashes) -> Iterator[tuple]:
+def home_of(order: np.ndarray, key: np.ndarray, groups: int) -> np.ndarray:
+    """The group of a row in the last step, as ``remove_repeats`` computes it in Spark."""
+    return spark_hash(order, key) % groups
+
+
+def _pack(group: np.ndarray, settled: bool, order, key, hashes) -> Iterator[tuple]:
     """Entries as one tuple per group; the entries of a document stay together."""
     place = np.argsort(group, kind="stable")
-    group, order, key, home, hashes = group[place], order[place], key[place], home[place], hashes[place]
+    group, order, key, hashes = group[place], order[place], key[place], hashes[place]
     cuts = np.flatnonzero(np.diff(group)) + 1
     for a, b in zip(np.append(0, cuts), np.append(cuts, len(group))):
         if a == b:
             continue
         new = np.flatnonzero((np.diff(order[a:b]) != 0) | (np.diff(key[a:b]) != 0)) + 1
         first = a + np.append(0, new)
-        counts = np.diff(np.append(first, b)).astype(np.uint32)
+        counts = np.diff(np.append(first, b))
         yield (
-            int(group[a]), settled, order[first].tobytes(), key[first].tobytes(),
-            home[first].astype(np.int32).tobytes(), counts.tobytes(), hashes[a:b].tobytes(),
+            int(group[a]), settled, _shrunk(order[first]), _shrunk(key[first]), _shrunk(counts), hashes[a:b].tobytes()
         )
 
 
 def _unpack(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """Order, key, home and hash of every entry."""
-    def flat(name, kind):
-        return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
+    """Order, key and hash of every entry."""
+    def flat(name):
+        return np.concatenate([np.zeros(0, np.int64), *map(_grown, table.column(name).to_pylist())])
 
-    counts = flat("counts", np.uint32)
-    return tuple(np.repeat(flat(n, k), counts) for n, k in (("orders", np.int64), ("row_keys", np.int64), ("homes", np.int32))) + (
-        flat("hashes", np.uint64),
-    )
+    counts = flat("counts")
+    hashes = np.frombuffer(b"".join(table.column("hashes").to_pylist()), dtype=np.uint64)
+    return np.repeat(flat("orders"), counts), np.repeat(flat("row_keys"), counts), hashes
 
 
 def _beaten(order: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,26 +115,32 @@ def _send_windows(width: int, groups: int):
                 words = Words(utf8_texts(chunk.column("text")))
                 hashes, per_text = window_hashes(words, width)
                 number = lambda name: np.repeat(chunk.column(name).to_numpy(), per_text)
-                order, key, home = number("ord"), number("row_key"), number("home")
+                order, key = number("ord"), number("row_key")
                 beaten, lead = _beaten(order, hashes)
                 lead.sort()
                 group = (hashes[lead] % np.uint64(groups)).astype(np.int64)
-                rows = list(_pack(group, False, order[lead], key[lead], home[lead], hashes[lead]))
-                rows += _pack(home[beaten].astype(np.int64), True, order[beaten], key[beaten], home[beaten], hashes[beaten])
+                rows = list(_pack(group, False, order[lead], key[lead], hashes[lead]))
+                order, key = order[beaten], key[beaten]
+                rows += _pack(home_of(order, key, groups), True, order, key, hashes[beaten])
                 yield _table(rows)
 
     return work
 
 
-def _count(table: pa.Table) -> pa.Table:
+def _count(groups: int):
     """Windows to remove, by the group of their rows. Settled ones pass."""
-    settled = table.column("settled").combine_chunks()
-    order, key, home, hashes = _unpack(table.filter(pc.invert(settled)))
-    beaten, _ = _beaten(order, hashes)
-    order, key, home, hashes = order[beaten], key[beaten], home[beaten], hashes[beaten]
-    place = np.lexsort((key, order))
-    rows = list(_pack(home[place].astype(np.int64), True, order[place], key[place], home[place], hashes[place]))
-    return pa.concat_tables([table.filter(settled), pa.Table.from_batches([_table(rows)])])
+
+    def work(table: pa.Table) -> pa.Table:
+        settled = table.column("settled").combine_chunks()
+        order, key, hashes = _unpack(table.filter(pc.invert(settled)))
+        beaten, _ = _beaten(order, hashes)
+        order, key, hashes = order[beaten], key[beaten], hashes[beaten]
+        place = np.lexsort((key, order))
+        order, key = order[place], key[place]
+        rows = list(_pack(home_of(order, key, groups), True, order, key, hashes[place]))
+        return pa.concat_tables([table.filter(settled), pa.Table.from_batches([_table(rows)])])
+
+    return work
 
 
 RESULT = (
@@ -147,7 +164,7 @@ def cut_windows(text: bytes, hit: np.ndarray, width: int) -> tuple[int, list[tup
 
 def _cut(width: int):
     def work(texts: pa.Table, cuts: pa.Table) -> pa.Table:
-        order, key, _, hashes = _unpack(cuts)
+        order, key, hashes = _unpack(cuts)
         place = np.lexsort((hashes, key, order))
         order, key, hashes = order[place], key[place], hashes[place]
         news = np.flatnonzero(np.append(True, (np.diff(order) != 0) | (np.diff(key) != 0))) if len(order) else []
@@ -211,8 +228,8 @@ def remove_repeats(
         "ord": F.coalesce("doc_id", F.lit(int(LAST_ID))),
         "row_key": F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0)).cast("bigint"),
     })
-    rows = rows.withColumn("home", F.pmod(F.xxhash64("ord", "row_key"), F.lit(groups)).cast("int"))
-    sent = rows.select("ord", "row_key", "home", "text").mapInArrow(_send_windows(width, groups), PACKED)
-    cuts = sent.groupBy("grp").applyInArrow(_count, PACKED)
-    texts = rows.select("home", "doc_id", "ord", "row_key", "text").groupBy(F.col("home").cast("bigint").alias("grp"))
+    sent = rows.select("ord", "row_key", "text").mapInArrow(_send_windows(width, groups), PACKED)
+    cuts = sent.groupBy("grp").applyInArrow(_count(groups), PACKED)
+    home = F.pmod(F.xxhash64("ord", "row_key"), F.lit(groups))
+    texts = rows.select(home.alias("grp"), "doc_id", "ord", "row_key", "text").groupBy("grp")
     return texts.cogroup(cuts.groupBy("grp")).applyInArrow(_cut(width), RESULT)
