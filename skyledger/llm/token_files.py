@@ -165,4 +165,7 @@ def count_tokens(
     names = written.select("path", "first", F.posexplode("doc_ids").alias("place", "doc_id")).select(
         "path", (F.col("first") + F.col("place")).alias("number"), "doc_id"
     )
-    return names.join(document_counts(files, block_bytes=block_bytes), ["path", "number"]).select("doc_id", "n_tokens")
+    # Both sides unfold from a few packed rows, so their size is not what Spark estimates
+    # from the files and a broadcast would grow with the documents.
+    counts = document_counts(files, block_bytes=block_bytes)
+    return names.hint("merge").join(counts, ["path", "number"]).select("doc_id", "n_tokens")
