@@ -5,19 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.session import materialise
+
+#: Different values the sampling hash is reduced to.
+HASHES = 1 << 40
+
 
 def crc_remainder(doc_id, divisor: int):
     """crc32 of the id as text, modulo ``divisor``; null for a row without id."""
     return F.crc32(doc_id.cast("string")) % divisor
 
 
-def sample_ids(labelled: DataFrame, label: str, per_label: int, place: str = "place") -> DataFrame:
-    """At most ``per_label`` rows of each label, drawn by a hash of doc_id, with their place.
+def sample_ids(labelled: DataFrame, label: str, per_label: int | dict, total: int | None = None) -> DataFrame:
+    """``doc_id`` and the label of a sample drawn by a hash of doc_id: at most ``per_label``
+    rows of a label (a number, or one for each label), and ``total`` in all.
 
-    Each task keeps its first rows of every label before anything is shuffled.
+    Rows are counted per label first, and only those whose hash is so low that about twice
+    the wanted number remain are put in order. Otherwise the few first rows of every task
+    would meet in one task, and there are as many tasks as the data is large.
     """
-    order = Window.partitionBy(label).orderBy(F.xxhash64(F.col("doc_id"), F.lit(7)), "doc_id")
-    return labelled.withColumn(place, F.row_number().over(order)).filter(F.col(place) <= per_label)
+    counts = materialise(labelled.groupBy(label).agg(F.count("*").alias("_rows")), "label-counts")
+    if isinstance(per_label, dict):
+        share = F.coalesce(*[F.when(F.col(label) == key, F.lit(n)) for key, n in per_label.items()])
+    else:
+        share = F.lit(min(per_label, max(1, total // max(counts.count(), 1))) if total else per_label)
+    place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(HASHES)) / HASHES
+    few = labelled.join(counts, label).withColumns({"_place": place, "_share": share}).filter(
+        F.col("_place") * F.col("_rows") < 2 * F.col("_share") + 100
+    )
+    order = Window.partitionBy(label).orderBy("_place", "doc_id")
+    return few.withColumn("_n", F.row_number().over(order)).filter("_n <= _share").select("doc_id", label)
 
 
 def excerpt(text, characters: int):
