@@ -73,25 +73,42 @@ def char_groups(words: Words) -> tuple[np.ndarray, np.ndarray]:
         code = code * np.uint32(263) + np.where(left > step - 1, data[at + step], 0).astype(np.uint32)
         if step != 2:
             buckets.append((code + np.uint32(step)) * np.uint32(2654435761) >> shift)
-    return np.stack(buckets, axis=1), counts
+    return np.stack(buckets, axis=1).astype(np.uint16), counts
 
 
-def windows_of(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, length and text of every window; the windows cover all words."""
-    count = np.where(words.counts > 0, np.maximum(0, -(-(words.counts - WINDOW) // STRIDE)) + 1, 0)
-    owner = np.repeat(np.arange(len(count)), count)
-    inside = ranges(np.zeros(len(count), dtype=np.int64), count) * STRIDE
-    return words.first[owner] + inside, np.minimum(WINDOW, words.counts[owner] - inside), owner
+def windows_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, length and text of every window over texts of so many words, which
+    follow one another; the windows cover all words."""
+    first = np.cumsum(counts) - counts
+    windows = np.where(counts > 0, np.maximum(0, -(-(counts - WINDOW) // STRIDE)) + 1, 0)
+    owner = np.repeat(np.arange(len(counts)), windows)
+    inside = ranges(np.zeros(len(counts), dtype=np.int64), windows) * STRIDE
+    return first[owner] + inside, np.minimum(WINDOW, counts[owner] - inside), owner
 
 
-def score_windows(model: ToxicityModel, words: Words) -> tuple[np.ndarray, np.ndarray]:
+@dataclass
+class Features:
+    """What the network reads of texts that follow one another."""
+
+    rows: np.ndarray  # of known words
+    groups: np.ndarray  # letter groups of all words
+    group_counts: np.ndarray  # per word
+    word_counts: np.ndarray  # per text
+
+
+def features_of(model: ToxicityModel, texts: list[bytes]) -> Features:
+    words = Words(texts, IS_BLANK)
+    return Features(model.word_rows(words.hashes()), *char_groups(words), words.counts)
+
+
+def score_windows(model: ToxicityModel, seen: Features) -> tuple[np.ndarray, np.ndarray]:
     """Logit and text of every window."""
-    starts, lengths, owner = windows_of(words)
+    starts, lengths, owner = windows_of(seen.word_counts)
     if not len(starts):
         return np.zeros(0), owner
-    chars, counts = char_groups(words)
-    vectors = recurrent.word_vectors(model.weights, model.word_rows(words.hashes()), chars, counts)
-    gates = recurrent.input_gates(model.weights, vectors)
+    gates = recurrent.input_gates(
+        model.weights, recurrent.word_vectors(model.weights, seen.rows, seen.groups, seen.group_counts)
+    )
     logits = [
         recurrent.window_logits(model.weights, gates, starts[a : a + 4096], lengths[a : a + 4096], WINDOW)
         for a in range(0, len(starts), 4096)
@@ -102,7 +119,7 @@ def score_windows(model: ToxicityModel, words: Words) -> tuple[np.ndarray, np.nd
 def worst_logits(model: ToxicityModel, texts: list[bytes]) -> np.ndarray:
     """The largest logit of each text's windows; minus infinity without any word."""
     worst = np.full(len(texts), -np.inf)
-    logits, owner = score_windows(model, Words(texts, IS_BLANK))
+    logits, owner = score_windows(model, features_of(model, texts))
     if len(owner):
         first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
         worst[owner[first]] = np.maximum.reduceat(logits, first)
@@ -133,11 +150,18 @@ def best_cut(logits: np.ndarray, labels: np.ndarray) -> float:
     return float((low[widest] + high[widest]) / 2)
 
 
+def _in_texts(features: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values of a feature, and in how many texts each is found."""
+    order = np.lexsort((owner, features))
+    features, owner = features[order], owner[order]
+    new = np.append(True, (features[1:] != features[:-1]) | (owner[1:] != owner[:-1]))
+    return np.unique(features[new], return_counts=True)
+
+
 def _vocabulary(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A table of the words found in most texts; of two in one place the commoner stays."""
-    pairs = np.unique(np.stack([hashes, owner.astype(np.uint64)], axis=1), axis=0)[:, 0]
-    known, texts = np.unique(pairs, return_counts=True)
-    order = np.lexsort((known, -texts))[: VOCABULARY]
+    known, texts = _in_texts(hashes, owner)
+    order = np.lexsort((known, -texts))[:VOCABULARY]
     known = known[order][texts[order] >= LEAST_TEXTS]
     slot_hash, slot_row = np.zeros(1 << SLOT_BITS, np.uint64), np.zeros(1 << SLOT_BITS, np.int64)
     slots = (known >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
@@ -146,12 +170,14 @@ def _vocabulary(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.n
     return slot_hash, slot_row
 
 
-def _common_groups(chars: np.ndarray, owner: np.ndarray) -> np.ndarray:
+def _common_groups(parts: list[Features]) -> np.ndarray:
     """Which buckets of letter groups are found in enough texts."""
     texts = np.zeros(recurrent.CHAR_BUCKETS, dtype=np.int64)
-    for column in range(chars.shape[1]):
-        pairs = np.unique(owner * recurrent.CHAR_BUCKETS + chars[:, column])
-        texts += np.bincount(pairs % recurrent.CHAR_BUCKETS, minlength=recurrent.CHAR_BUCKETS)
+    for part in parts:
+        owner = np.repeat(np.repeat(np.arange(len(part.word_counts)), part.word_counts), part.group_counts)
+        for column in range(part.groups.shape[1]):
+            found, n = _in_texts(part.groups[:, column], owner)
+            texts[found] += n
     return texts >= LEAST_TEXTS
 
 
@@ -170,35 +196,48 @@ def fit_model(texts: list[str], labels: list[int], seed: int = 5) -> ToxicityMod
         seen[label] += 1
         (rest if seen[label] % ASIDE[label] else aside).append(i)
     model = _trained([texts[i] for i in rest], [labels[i] for i in rest], seed)
-    parts = [aside[a : a + 200] for a in range(0, len(aside), 200)]
+    parts = [aside[a : a + PART_TEXTS] for a in range(0, len(aside), PART_TEXTS)]
     logits = [worst_logits(model, [lowered(texts[i]) for i in part]) for part in parts]
     if logits:
         model.cut = best_cut(np.concatenate(logits), np.array([labels[i] for i in aside]))
     return model
 
 
+PART_TEXTS = 200
+
+
 def _trained(texts: list[str], labels: list[int], seed: int) -> ToxicityModel:
+    """Features are made and windows are scored for some hundred texts at a time."""
     rng = np.random.default_rng(seed)
     raw = [lowered(t) for t in texts]
-    words = Words(raw, IS_BLANK)
-    hashes, owner_of_word = words.hashes(), np.repeat(np.arange(len(raw)), words.counts)
-    slot_hash, slot_row = _vocabulary(hashes, owner_of_word)
+    raw_parts = [raw[a : a + PART_TEXTS] for a in range(0, len(raw), PART_TEXTS)]
+    hashes, owner = [], []
+    for n, part in enumerate(raw_parts):
+        words = Words(part, IS_BLANK)
+        hashes.append(words.hashes())
+        owner.append(np.repeat(np.arange(len(part)) + n * PART_TEXTS, words.counts))
+    slot_hash, slot_row = _vocabulary(np.concatenate(hashes), np.concatenate(owner))
+    del hashes, owner
     model = ToxicityModel(recurrent.first_weights(int(slot_row.max()) + 1, rng), slot_hash, slot_row)
-    rows = model.word_rows(hashes)
-    chars, counts = char_groups(words)
-    char_starts = np.cumsum(counts) - counts
-    common = _common_groups(chars, np.repeat(owner_of_word, counts))
+    parts = [features_of(model, part) for part in raw_parts]
+    common = _common_groups(parts)
     model.weights["char"][~common] = 0
-    starts, lengths, owner = windows_of(words)
+    rows = np.concatenate([p.rows for p in parts])
+    groups = np.concatenate([p.groups for p in parts])
+    counts = np.concatenate([p.group_counts for p in parts])
+    word_counts = np.concatenate([p.word_counts for p in parts])
+    group_starts = np.cumsum(counts) - counts
+    starts, lengths, owner = windows_of(word_counts)
     first = np.searchsorted(owner, np.arange(len(raw) + 1))
     y = np.array(labels, dtype=np.float32)
     weight = np.where(y > 0, len(y) / (2 * max((y > 0).sum(), 1)), len(y) / (2 * max((y == 0).sum(), 1)))
     adam = recurrent.Adam()
-    filled = np.flatnonzero(words.counts > 0)
+    filled = np.flatnonzero(word_counts > 0)
     for epoch in range(EPOCHS if len(filled) else 0):
         adam.rate = 0.01 if epoch < EPOCHS - 3 else 0.003
-        worst = score_windows(model, words)[0] if epoch >= WARM_UP else None
-        for texts_now in np.array_split(rng.permutation(filled), max(min(STEPS, len(filled)), len(filled) // BATCH_TEXTS)):
+        worst = np.concatenate([score_windows(model, p)[0] for p in parts]) if epoch >= WARM_UP else None
+        steps = max(min(STEPS, len(filled)), len(filled) // BATCH_TEXTS)
+        for texts_now in np.array_split(rng.permutation(filled), steps):
             chosen, cost = [], []
             for text in texts_now:
                 own = np.arange(first[text], first[text + 1])
@@ -211,23 +250,22 @@ def _trained(texts: list[str], labels: list[int], seed: int) -> ToxicityModel:
                 chosen.append(pick)
                 cost.append(np.full(len(pick), weight[text] / len(pick) / len(texts_now)))
             pick, cost = np.concatenate(chosen), np.concatenate(cost)
-            place, local = _gather(starts[pick], lengths[pick])
+            place = _gather(starts[pick], lengths[pick])
             used = np.unique(place)
-            group_rows = ranges(char_starts[used], counts[used])
             ids = np.where(rng.random(len(used)) < 0.3, 0, rows[used])
             mask = (np.arange(WINDOW)[:, None] < lengths[pick][None, :]).astype(np.float32)
             _, slopes = recurrent.gradients(
-                model.weights, ids, chars[group_rows], counts[used], np.searchsorted(used, place), mask, y[owner[pick]], cost
+                model.weights, ids, groups[ranges(group_starts[used], counts[used])], counts[used],
+                np.searchsorted(used, place), mask, y[owner[pick]], cost,
             )
             slopes["char"][~common] = 0
             adam.step(model.weights, slopes)
     return model
 
 
-def _gather(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Words of windows, time by window; places behind a window repeat its last word."""
-    step = np.minimum(np.arange(WINDOW)[:, None], lengths[None, :] - 1)
-    return starts[None, :] + step, step
+    return starts[None, :] + np.minimum(np.arange(WINDOW)[:, None], lengths[None, :] - 1)
 
 
 def train_toxicity_model(
@@ -242,9 +280,7 @@ def train_toxicity_model(
     usable = known.filter("toxic in (0, 1) and doc_id is not null").filter(crc_remainder(F.col("doc_id"), 3) != 1)
     there = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
     usable = usable.dropDuplicates(["doc_id"]).join(there, "doc_id", "left_semi")
-    drawn = sample_ids(usable, "toxic", max(per_label.values()), "place")
-    share = F.when(F.col("toxic") == 1, per_label[1]).otherwise(per_label[0])
-    chosen = drawn.filter(F.col("place") <= share).select("doc_id", "toxic")
+    chosen = sample_ids(usable, "toxic", per_label)
     rows = sorted((r.doc_id, r.toxic, r.text) for r in sampled_texts(docs, chosen, characters).collect())
     if len({toxic for _, toxic, _ in rows}) < 2:
         return None
