@@ -184,32 +184,35 @@ def _moments(rows: DataFrame, keys: list[str], vector: str = "x") -> DataFrame:
 
 
 def _factor(moments: DataFrame) -> DataFrame:
-    """Add the Cholesky factor ``chol`` of the covariance plus the squared least spreads,
-    and ``logdet``, the logarithm of its determinant."""
+    """Add the inverse ``white`` of the Cholesky factor of the covariance plus the squared
+    least spreads, and ``logdet``, the logarithm of the determinant.
+
+    Entries are computed column by column, one per step, on a row per group; the rows of
+    the table are then only multiplied with them.
+    """
     at = lambda i, j: F.element_at("cov", PAIRS.index((i, j)) + 1)
-    df, names = moments, {}
+    low, inverse = (lambda i, j: F.col(f"l{i}_{j}")), (lambda i, j: F.col(f"w{i}_{j}"))
+    df = moments
     for i, j in PAIRS:
         total = at(i, j) if i != j else F.greatest(at(i, i), F.lit(0.0)) + LEAST_SPREAD[i] ** 2
         for k in range(j):
-            total = total - F.col(names[i, k]) * F.col(names[j, k])
-        names[i, j] = f"l{i}_{j}"
-        value = F.sqrt(F.greatest(total, F.lit(1e-12))) if i == j else total / F.col(names[j, j])
-        df = df.withColumn(names[i, j], value)
-    logdet = reduce(lambda a, b: a + b, [2 * F.log(F.col(names[i, i])) for i in range(D)])
-    return df.select(
-        *moments.columns, F.array(*[F.col(names[p]) for p in PAIRS]).alias("chol"), logdet.alias("logdet")
-    )
+            total = total - low(i, k) * low(j, k)
+        df = df.withColumn(f"l{i}_{j}", F.sqrt(F.greatest(total, F.lit(1e-12))) if i == j else total / low(j, j))
+    for i, j in sorted(PAIRS, key=lambda p: (p[0], -p[1])):
+        total = F.lit(1.0) if i == j else reduce(lambda a, b: a + b, [-low(i, k) * inverse(k, j) for k in range(j, i)])
+        df = df.withColumn(f"w{i}_{j}", total / low(i, i))
+    logdet = reduce(lambda a, b: a + b, [2 * F.log(low(i, i)) for i in range(D)])
+    return df.select(*moments.columns, F.array(*[inverse(*p) for p in PAIRS]).alias("white"), logdet.alias("logdet"))
 
 
 def _distance() -> Column:
-    """Squared Mahalanobis distance of ``x`` from ``mu``, by forward substitution in ``chol``."""
-    z: list[Column] = []
-    for i in range(D):
-        rest = F.element_at("x", i + 1) - F.element_at("mu", i + 1)
-        for k in range(i):
-            rest = rest - F.element_at("chol", PAIRS.index((i, k)) + 1) * z[k]
-        z.append(rest / F.element_at("chol", PAIRS.index((i, i)) + 1))
-    return reduce(lambda a, b: a + b, [v * v for v in z])
+    """Squared Mahalanobis distance of ``x`` from ``mu``: the length of the whitened difference."""
+    away = [F.element_at("x", i + 1) - F.element_at("mu", i + 1) for i in range(D)]
+    parts = [
+        reduce(lambda a, b: a + b, [F.element_at("white", PAIRS.index((i, j)) + 1) * away[j] for j in range(i + 1)])
+        for i in range(D)
+    ]
+    return reduce(lambda a, b: a + b, [p * p for p in parts])
 
 
 def _starts(rows: DataFrame, centre: DataFrame) -> DataFrame:
@@ -264,14 +267,14 @@ def _consistency(share: float) -> float:
 
 
 def robust_estimates(rows: DataFrame, share: float = SUBSET, steps: int = STEPS) -> DataFrame:
-    """``grp, mu, chol`` per group of ``rows`` (``grp, x``): the estimate of least determinant."""
+    """``grp, mu, white`` per group of ``rows`` (``grp, x``): the estimate of least determinant."""
     estimates = _starts(rows, materialise(_centre_and_scale(rows), "centres"))
     for _ in range(steps):
         estimates = materialise(_concentrate(rows, estimates, share), "estimates")
     best = estimates.groupBy("grp").agg(
         F.min(F.struct("logdet", "start", "mu", "cov")).alias("b")
     ).select("grp", "b.mu", F.transform("b.cov", lambda v: v * _consistency(share)).alias("cov"))
-    return _factor(best).select("grp", "mu", "chol")
+    return _factor(best).select("grp", "mu", "white")
 
 
 def quality_rules(docs: DataFrame, cutoff: float = CUTOFF, least_rows: int = LEAST_ROWS) -> DataFrame:
