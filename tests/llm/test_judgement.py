@@ -1,0 +1,262 @@
+"""Quality, language, toxicity, surrogates and the pipeline."""
+
+import importlib
+import random
+import re
+import sys
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from corpus_fixtures import edge_docs, make_docs, small_docs  # noqa: F401
+
+import corpus_pipeline
+from skyledger.llm import language, pii, quality, recurrent, toxicity
+from skyledger.llm.textbytes import Words
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_statistics(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    seen = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    repeated = {i + k for i in range(len(words) - 4) if seen[tuple(words[i : i + 5])] > 1 for k in range(5)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (
+        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(repeated)
+    )
+
+
+def test_statistics_match_brute_force(small_docs):
+    texts = {r.doc_id: r.text for r in small_docs.collect()}
+    for r in quality.with_base_rule(quality.text_statistics(small_docs)).collect():
+        expected = plain_statistics(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == expected
+        assert r.base_failed == (expected[0] < 10 or 100 * expected[4] > 20 * expected[0])
+
+
+def plain_mcd(x, share, steps):
+    """The same estimate in numpy: three starts, concentration steps, least determinant."""
+    grid = lambda v: np.sort(v)[int(np.ceil(len(v) * 0.5)) - 1]
+    rounded = np.floor(x * quality.GRID + 0.5)
+    centre = np.array([grid(c) for c in rounded.T]) / quality.GRID
+    off = np.floor(np.abs(x - centre) * quality.GRID + 0.5)
+    least = np.array(quality.LEAST_SPREAD)
+    scale = np.maximum(np.array([grid(c) for c in off.T]) / quality.GRID * 1.4826, least)
+    z = (x - centre) / scale
+    moment = lambda v: (v.mean(0), np.cov(v.T, bias=True))
+    starts = [(centre, np.diag(scale**2))]
+    starts.append(moment(centre + scale * np.tanh(z)))
+    starts.append(moment(centre + scale * z / np.maximum(np.linalg.norm(z, axis=1), 1e-9)[:, None]))
+    best = None
+    for mu, cov in starts:
+        for _ in range(steps):
+            d = x - mu
+            away = (d * np.linalg.solve(cov + np.diag(least**2), d.T).T).sum(1)
+            cell = np.floor(np.log2(np.maximum(away, 1e-9)) * quality.DOUBLING)
+            mu, cov = moment(x[cell <= np.sort(cell)[int(np.ceil(len(x) * share)) - 1]])
+        size = np.linalg.slogdet(cov + np.diag(least**2))[1]
+        if best is None or size < best[0] - 1e-9:
+            best = (size, mu, cov)
+    _, mu, cov = best
+    d = x - mu
+    return (d * np.linalg.solve(cov * quality._consistency(share) + np.diag(least**2), d.T).T).sum(1)
+
+
+def test_distances_match_numpy(small_docs):
+    docs = small_docs.selectExpr("doc_id", "text", "'en' as lang", "source")
+    rows = quality.with_vector(quality.with_base_rule(quality.text_statistics(docs))).filter("not base_failed").collect()
+    expected = dict(zip([r.doc_id for r in rows], plain_mcd(np.array([r.x for r in rows]), quality.SUBSET, quality.STEPS)))
+    for r in quality.quality_rules(docs, least_rows=10**9).collect():
+        if not r.base_failed:
+            assert r.distance == pytest.approx(expected[r.doc_id], rel=1e-6, abs=1e-9)
+            assert r.kept == (r.distance <= quality.CUTOFF)
+
+
+def test_quality_edges(edge_docs, make_docs):
+    rows = {r.doc_id: r for r in quality.quality_rules(edge_docs).collect()}
+    assert [rows[i].n_words for i in (1, 2, 3, 4)] == [0, 0, 0, 1] and not any(rows[i].kept for i in (1, 2, 3, 4, 6, None))
+    unknown = make_docs([(i, " ".join(f"w{i}{k}" for k in range(12 + i))) for i in range(70)], lang=None, source=None)
+    assert quality.quality_rules(unknown).filter("kept").count() == 70
+    assert quality.quality_rules(make_docs([])).count() == 0
+
+
+def test_language_of_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.train_language_model(docs, per_language=60)
+    rows = language.identify_language(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    assert {r.doc_id for r in held} == {r.doc_id for r in rows if zlib.crc32(str(r.doc_id).encode()) % 4 == 2}
+    assert np.mean([r.lang == r.lang_pred for r in held]) > 0.97 and all(0 <= r.score <= 1 for r in rows)
+
+
+def test_families_and_votes():
+    texts = [f"{w} " * 30 for w in ("the and", "der und", "le et", "el los", "xq zz")] * 6
+    names = ["en", "de", "fr", "es", "zz"] * 6
+    model = language.fit_model(texts, names)
+    assert model.families == ["=zz", "germanic", "romance"] and len(model.pairs) == 2
+    found, scores = model.predict(language.text_margins(model, [t.encode() for t in texts[:5]]))
+    assert list(found) == names[:5] and ((0 <= scores) & (scores <= 1)).all()
+
+
+def test_language_edges(edge_docs, make_docs):
+    docs = edge_docs.unionByName(make_docs([(20, "123 ... !"), (21, "Ω")]))
+    model = language.train_language_model(docs)
+    rows = {r.doc_id: r for r in language.identify_language(docs, model).collect()}
+    assert all(rows[i].lang_pred == "und" and rows[i].score == 0 for i in (1, 2, 3, 20))
+    assert rows[21].lang_pred == "en" and rows[None].held_out
+    assert {r.lang_pred for r in language.identify_language(docs, None).collect()} == {"und"}
+    assert language.train_language_model(make_docs([])) is None
+    assert language.identify_language(make_docs([]), model).count() == 0
+
+
+def test_gradients_match_differences():
+    rng = np.random.default_rng(0)
+    weights = {k: v.astype(np.float64) for k, v in recurrent.first_weights(9, rng).items()}
+    groups, counts = toxicity.char_groups(Words([b"abc def ghi jk lmno p", b"xx yyy"], toxicity.IS_BLANK))
+    ids, y, cost = np.arange(8) % 5, np.array([1.0, 0.0]), np.array([0.7, 0.4])
+    place = np.array([[0, 6], [1, 7], [2, 7], [3, 7]])
+    mask = np.array([[1, 1], [1, 1], [1, 0], [1, 0]], np.float32)
+    loss = lambda: recurrent.gradients(weights, ids, groups, counts, place, mask, y, cost)
+    _, slopes = loss()
+    for name, values in weights.items():
+        spots = [tuple(rng.integers(0, s) for s in values.shape) for _ in range(3)]
+        spots = {"char": [(groups[3, 0], 1), (groups[9, 1], 2)], "word": [(1, 1), (2, 3)]}.get(name, spots)
+        for spot in spots:
+            middle = values[spot]
+            values[spot] = middle + 1e-4
+            up = loss()[0]
+            values[spot] = middle - 1e-4
+            down = loss()[0]
+            values[spot] = middle
+            assert slopes[name][spot] == pytest.approx((up - down) / 2e-4, rel=2e-2, abs=3e-5), name
+
+
+def test_windows_cover_all_words():
+    counts = np.array([0, 1, 24, 25, 100])
+    starts, lengths, owner = toxicity.windows_of(counts)
+    first = np.cumsum(counts) - counts
+    for text, count in enumerate(counts):
+        covered = set()
+        for s, n in zip(starts[owner == text] - first[text], lengths[owner == text]):
+            covered |= set(range(s, s + n))
+        assert covered == set(range(count))
+
+
+def test_held_out_toxic_texts_are_found(make_docs, spark):
+    rng = random.Random(4)
+    pool = ["".join(rng.choice(["ba", "lo", "ti", "re", "mu", "sa"]) for _ in range(rng.randint(1, 4))) for _ in range(400)]
+    texts, labels = [], []
+    for i in range(600):
+        words = [rng.choice(pool) for _ in range(rng.randint(5, 150))]
+        if i % 3 == 0:
+            words.insert(rng.randint(0, len(words)), "zorg" + rng.choice(pool))
+        texts.append((i, " ".join(words)))
+        labels.append((i, int(i % 3 == 0)))
+    docs, marks = make_docs(texts), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = toxicity.train_toxicity_model(docs, marks)
+    rows = toxicity.score_toxicity(docs, model).collect()
+    held = [r for r in rows if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert np.mean([r.predicted == (r.doc_id % 3 == 0) for r in held]) > 0.95
+    assert all(r.predicted == (r.score >= 0.7) for r in rows)
+    kept = toxicity.drop_toxic(docs, model)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in rows if not r.predicted}
+
+
+def test_toxicity_edges(edge_docs, make_docs, spark):
+    marks = spark.createDataFrame([(5, 1), (4, None), (None, 0)], "doc_id bigint, toxic int")
+    assert toxicity.train_toxicity_model(edge_docs, marks) is None
+    assert {r.score for r in toxicity.score_toxicity(edge_docs, None).collect()} == {0.0}
+    model = toxicity.fit_model(["good words here", "bad words there"] * 12, [0, 1] * 12)
+    rows = toxicity.score_toxicity(edge_docs, model).collect()
+    assert len(rows) == 9 and all(r.score == 0 for r in rows if r.doc_id in (1, 2, 3))
+    assert toxicity.score_toxicity(make_docs([]), model).count() == 0
+
+
+LETTER = (
+    "Ms Lopez and John A. Walker met. Maria Lopez: call +1 (017) 555-7713 or Maria.L@corp.co.uk; Lopez agreed. "
+    "DE89 3704 0044 0532 0130 00, card 4111 1111 1111 1111, not 4111 1111 1111 1112, 8.8.8.8, 999.1.1.1, "
+    'token = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B". 王小明先生, Анна Петрова.'
+)
+
+
+def test_surrogates_keep_type_and_format():
+    done, kinds = pii.replace_entities(LETTER, b"k", {})
+    assert "not 4111 1111 1111 1112" in done and "999.1.1.1" in done
+    for lost in ("Lopez", "Walker", "555-7713", "corp", "8.8.8.8", "9233A8", "小明", "Петров"):
+        assert lost not in done
+    assert re.search(r"call \+1 \(\d{3}\) \d{3}-\d{4} or \w+\.\w+@\w+\.example\.uk", done)
+    card = re.search(r"card ((?:\d{4} ?){4})", done)[1].replace(" ", "")
+    assert pii.luhn_ok(card) and pii.iban_ok(re.search(r"DE\d\d[ \d]+\d\d(?=,)", done)[0].replace(" ", ""))
+    assert re.search(r'token = "[0-9A-F]{40}"', done) and re.search(r"先生, \w+ \w+а\.", done)
+    family = re.match(r"Ms (\w+)", done)[1]
+    assert done.count(family) == 3
+    given = re.search(rf"(\w+) {family}: call", done)[1]
+    assert given in pii.GIVEN["latin:f"].split()
+    assert pii.replace_entities(LETTER, b"k", {})[0] == done != pii.replace_entities(LETTER, b"other", {})[0]
+    assert Counter(kinds)["family"] == 6
+
+
+def test_surrogates_are_distinct_and_not_entities(make_docs):
+    names = [n for kind in ("latin:f", "latin:m") for n in pii.GIVEN[kind].split()]
+    families = [f"Fam{chr(97 + i % 26)}{chr(97 + i // 26)}ilo" for i in range(60)]
+    docs = make_docs([(i, f"{names[i % len(names)]} {families[i]} was here") for i in range(60)])
+    rows = pii.assign_surrogates(docs, b"k").collect()
+    assert any(r.attempt for r in rows)
+    assert len({(r.kind, r.value) for r in rows}) == len(rows)
+    assert not {(r.kind, r.value) for r in rows} & {(r.kind, r.canonical) for r in rows}
+    sent = {r.doc_id: r.text for r in pii.with_surrogates(docs, "k").collect()}
+    joined = {r.doc_id: r.text for r in pii.with_surrogates(docs, "k", broadcast_entities=0).collect()}
+    assert sent == joined and len(set(sent.values())) == 60
+
+
+def test_surrogate_edges(edge_docs, make_docs):
+    done = pii.with_surrogates(edge_docs, "k", kinds="found")
+    assert done.columns == [*edge_docs.columns, "found"]
+    key = lambda r: (r.doc_id is not None, r.doc_id or 0)
+    before, after = sorted(edge_docs.collect(), key=key), sorted(done.collect(), key=key)
+    assert [r.text for r in before] == [r.text for r in after] and all(not r.found for r in after)
+    assert pii.with_surrogates(make_docs([]), "k").count() == 0
+
+
+def test_pipeline_stages_follow_their_operators(spark, tmp_path):
+    from test_passages import plain_components, plain_contamination, plain_print
+
+    docs, got = spark.read.parquet(f"{SF}/documents.parquet"), {}
+    columns = docs.columns
+    model = toxicity.train_toxicity_model(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        got[name] = docs.collect()
+        assert name == "packing" or docs.columns == columns
+    start = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    clean = {r.doc_id: r.text for r in start if toxicity.score_texts(model, [toxicity.lowered(r.text)])[0] < 0.7}
+    assert {r.doc_id for r in got["toxicity"]} == set(clean)
+    roots = plain_components({i: plain_print(t) for i, t in clean.items()})
+    single = {i: t for i, t in clean.items() if roots[i] == i}
+    assert {r.doc_id for r in got["near_duplicates"]} == set(single)
+    items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    fair = {i for i, _, hit, _ in plain_contamination(single.items(), items) if not hit}
+    assert {r.doc_id for r in got["decontamination"]} == fair
+    for r in got["personal_data"]:
+        assert r.text == pii.replace_entities(single[r.doc_id], b"registered-query", {})[0] and r.n_chars == len(r.text)
+    assert {r.doc_id for r in got["packing"]} == fair
+    assert corpus_pipeline.run(spark, SF).count() == len(got["packing"])
+
+
+def test_entry_works_without_the_subpackage(monkeypatch):
+    import __spark_entry__ as entry
+
+    assert "op1_toxicity" in entry.queries() and "pipeline" in entry.queries()
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    try:
+        importlib.reload(entry)
+        assert "busiest_airports" in entry.queries() and "op1_toxicity" not in entry.queries()
+    finally:
+        monkeypatch.undo()
+        importlib.reload(entry)
