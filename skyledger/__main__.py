@@ -47,6 +47,8 @@ def parser() -> argparse.ArgumentParser:
     live = jobs.add_parser("live", help="running mean delays from a topic, or from message files")
     live.add_argument("--messages", help="folder of message files instead of a topic")
     live.add_argument("--tables", help="keep the results as tables here instead of printing them")
+    live.add_argument("--max-per-trigger", type=int, help="messages of a topic in one micro-batch at most")
+    live.add_argument("--min-tasks", type=int, help="tasks that read a topic at least")
     live.add_argument("--available-now", action="store_true", help="stop when all input is read")
     for sub in (publish, live):
         sub.add_argument("--brokers", default=brokers)
@@ -89,7 +91,10 @@ def main(arguments: list[str] | None = None) -> None:
 
             source["messages"] = file_messages(spark, args.messages)
         else:
-            source |= {"brokers": args.brokers, "topic": args.topic}
+            source |= {
+                "brokers": args.brokers, "topic": args.topic,
+                "max_per_trigger": args.max_per_trigger, "min_tasks": args.min_tasks,
+            }
         queries = plans.run_live(
             spark, tables=args.tables, checkpoint=args.checkpoint,
             available_now=args.available_now, **source,

@@ -2,46 +2,40 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.operators.categories import category_text
+from skyledger.operators.categories import attach_codes, category_codes
 from skyledger.schema import MODEL_CATEGORICAL, MODEL_NUMERIC
-from skyledger.session import shared_folder
+from skyledger.session import materialise, shared_folder
 
 # The model's parameters.
 MAX_DEPTH = 6
 LEARNING_RATE = 0.1
 TREES = 100
 SEED = 42
-
-# MLlib keeps a column's label list on the driver and one split bin per label, so
-# this many labels is the largest list it is given. Columns beyond it go through
-# skyledger.operators.categories as numbers (see skyledger.plans.training).
-MAX_LABELS = 10_000
-MIN_BINS = 32
+MAX_BINS = 256
 
 
-def wide_columns(df: DataFrame, columns=MODEL_CATEGORICAL, limit: int = MAX_LABELS) -> list[str]:
-    """The columns with more distinct values than a label list may have.
+@dataclass
+class DelayModel:
+    """The trees and the codes of the categories they were trained with."""
 
-    One pass with a fixed-size sketch per column; the sketch's error is far below
-    the distance between the limit and what the driver can hold.
-    """
-    if not columns:
-        return []
-    counts = df.agg(*[F.approx_count_distinct(category_text(c), 0.02).alias(c) for c in columns])
-    found = counts.first().asDict()
-    return [c for c in columns if found[c] > limit]
+    trees: PipelineModel
+    codes: DataFrame
 
 
-def with_category_text(df: DataFrame, columns=MODEL_CATEGORICAL) -> DataFrame:
-    """Add the text the indexers read; unknown values become a category of their own."""
-    return df.withColumns({f"{c}_text": category_text(c) for c in columns})
+def with_codes(df: DataFrame, codes: DataFrame, columns=MODEL_CATEGORICAL) -> DataFrame:
+    """Add each column's code as a number; a value without one gets the next code."""
+    for column in columns:
+        df = attach_codes(df, codes, column, f"{column}_code")
+    return df
 
 
 def fit_delay_model(
@@ -55,45 +49,32 @@ def fit_delay_model(
     max_depth: int = MAX_DEPTH,
     learning_rate: float = LEARNING_RATE,
     seed: int = SEED,
-) -> PipelineModel:
-    """Fit indexers, assembler and boosted trees.
-
-    Labels are taken from the training rows, or from ``label_rows`` to take them
-    from all rows as well. Pass weighted distinct rows (``collapse_rows``): trees
-    see the same sums, on far fewer rows.
+) -> DelayModel:
+    """Number the categories, then fit boosted trees on numbers and codes.
+
+    A code is a value's rank among the sorted values, a number like any other feature, so
+    columns of few and of many values are treated alike and no list of values reaches the
+    driver. Codes are those of the training rows, or of ``label_rows`` to number the
+    values of all rows. Pass weighted distinct rows (``collapse_rows``): trees see the
+    same sums, on far fewer rows.
     """
     numeric, categorical = list(numeric), list(categorical)
-    too_wide = wide_columns(train if label_rows is None else label_rows, categorical)
-    if too_wide:
-        raise ValueError(f"too many labels in {too_wide}: attach codes and pass them as numeric")
     shared_folder(train.sparkSession)  # boosting cuts its lineage there
-    stages, bins = [], MIN_BINS
-    if categorical:
-        indexers = StringIndexer(
-            inputCols=[f"{c}_text" for c in categorical],
-            outputCols=[f"{c}_code" for c in categorical],
-            stringOrderType="alphabetAsc",
-            handleInvalid="keep",
-        ).fit(with_category_text(train if label_rows is None else label_rows, categorical))
-        stages.append(indexers)
-        bins = max([MIN_BINS] + [len(labels) + 1 for labels in indexers.labelsArray])
-    stages.append(
-        VectorAssembler(
-            inputCols=numeric + [f"{c}_code" for c in categorical], outputCol="features"
-        )
-    )
+    codes = materialise(category_codes(train if label_rows is None else label_rows, *categorical), "codes")
+    assembler = VectorAssembler(inputCols=numeric + [f"{c}_code" for c in categorical], outputCol="features")
     trees_stage = GBTClassifier(
         featuresCol="features", labelCol=label, maxDepth=max_depth, stepSize=learning_rate,
-        maxIter=trees, lossType="logistic", seed=seed, maxBins=bins,
+        maxIter=trees, lossType="logistic", seed=seed, maxBins=MAX_BINS,
     )
     if weight:
         trees_stage = trees_stage.setWeightCol(weight)
-    return Pipeline(stages=[*stages, trees_stage]).fit(with_category_text(train, categorical))
+    coded = with_codes(train, codes, categorical)
+    return DelayModel(Pipeline(stages=[assembler, trees_stage]).fit(coded), codes)
 
 
-def score_flights(model: PipelineModel, df: DataFrame, categorical=MODEL_CATEGORICAL) -> DataFrame:
+def score_flights(model: DelayModel, df: DataFrame, categorical=MODEL_CATEGORICAL) -> DataFrame:
     """The rows with ``prediction`` (0/1) and ``probability`` of a late arrival."""
-    scored = model.transform(with_category_text(df, categorical))
+    scored = model.trees.transform(with_codes(df, model.codes, categorical))
     return scored.select(
         *df.columns,
         F.col("prediction").cast("int").alias("prediction"),
@@ -101,10 +82,13 @@ def score_flights(model: PipelineModel, df: DataFrame, categorical=MODEL_CATEGOR
     )
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
+def save_model(model: DelayModel, path: str) -> str:
+    """Store the trees and, beside them, the codes."""
+    model.trees.write().overwrite().save(f"{path}/trees")
+    model.codes.write.mode("overwrite").parquet(f"{path}/codes")
     return path
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> DelayModel:
+    codes = SparkSession.active().read.parquet(f"{path}/codes")
+    return DelayModel(PipelineModel.load(f"{path}/trees"), codes)

@@ -40,7 +40,7 @@ def number_in_order(
     within = F.row_number().over(Window.partitionBy(group, "slice").orderBy(order))
     return (
         sliced.withColumn("place", within)
-        .join(F.broadcast(starts), [group, "slice"])
+        .join(starts, [group, "slice"])
         .withColumn(name, F.col("start") + F.col("place") - 1)
         .drop("slice", "place", "start")
     )

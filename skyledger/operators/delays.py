@@ -1,4 +1,4 @@
-"""Mean delays and row counts per group."""
+"""Mean delays per group."""
 
 from __future__ import annotations
 
@@ -23,8 +23,3 @@ def mean_delay(
 def by_delay(means: DataFrame, key: str, name: str = "avg_delay") -> DataFrame:
     """Lowest mean first; the key makes the order total."""
     return means.orderBy(F.asc(name), F.asc(key))
-
-
-def row_counts(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows per key, or of the whole table when no key is given."""
-    return df.groupBy(*keys).agg(F.count("*").alias("rows"))

@@ -14,10 +14,11 @@ def classification_metrics(
 ) -> DataFrame:
     """One row: the confusion counts and accuracy, precision and recall from them.
 
-    One aggregate over the scored rows. A ratio with nothing below the line is 0.
+    One aggregate over the scored rows. A ratio with nothing below the line is 0. A row
+    without a prediction is one that was not flagged.
     """
     amount = F.col(weight) if weight else F.lit(1)
-    positive, flagged = F.col(label) == 1, F.col(prediction) == 1
+    positive, flagged = F.col(label) == 1, F.coalesce(F.col(prediction) == 1, F.lit(False))
 
     def total(condition, name):
         return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0)).cast("double").alias(name)

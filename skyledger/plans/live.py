@@ -23,10 +23,12 @@ def run_live(
     """Start the running aggregates and return their queries.
 
     ``messages`` defaults to the Kafka topic. Results go to the console, or with
-    ``tables`` to a Parquet table per key below that path.
+    ``tables`` to a Parquet table per key below that path. The checkpoint is kept below
+    ``tables`` too unless another place is given, so a restarted job goes on from where
+    it was; the console alone needs a place to be given for that.
     """
     messages = kafka_messages(spark, **source_options) if messages is None else messages
-    checkpoint = checkpoint or scratch_path(spark, "live")
+    checkpoint = checkpoint or (f"{tables}/_checkpoint" if tables else scratch_path(spark, "live"))
 
     def sink(running, key):
         place = f"{checkpoint}/{key}"

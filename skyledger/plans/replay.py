@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 
-from skyledger.session import scratch_path
+from skyledger.session import shared_folder
 from skyledger.sinks.messages import kafka_target, publish_batch, publish_stream
 from skyledger.sources.delimited import read_text_records
 from skyledger.sources.messages import DEFAULT_BROKERS, DEFAULT_TOPIC, text_record_stream
 
 
+def publish_checkpoint(spark: SparkSession, source: str, target: str) -> str:
+    """A place in the shared folder that is the same for each run from source to target."""
+    name = hashlib.sha256(f"{source}\n{target}".encode()).hexdigest()[:32]
+    return f"{shared_folder(spark).rstrip('/')}/skyledger/publish-{name}"
+
+
 def run_publish(
     spark: SparkSession,
     source: str,
@@ -24,15 +32,19 @@ def run_publish(
     """Publish every row as a JSON object of strings.
 
     With ``files_per_batch`` the files go out batch by batch, and with ``every`` at
-    most one batch per interval; otherwise all at once, limited by the broker.
+    most one batch per interval; otherwise all at once, limited by the broker. What has
+    gone out is noted in the checkpoint. Its place follows from source and target where
+    none is given, so a job started again sends only what is new.
     """
+    if every is not None and files_per_batch is None:
+        raise ValueError("'every' sets the pace of batches, so it needs 'files_per_batch'")
     options = kafka_target(brokers, topic) if format == "kafka" else {}
     records = read_text_records(spark, source)
     if files_per_batch is None:
         publish_batch(records, format, path, **options)
         return
     stream = text_record_stream(spark, source, records.columns, files_per_batch)
-    checkpoint = checkpoint or scratch_path(spark, "publish")
+    checkpoint = checkpoint or publish_checkpoint(spark, source, path or f"{brokers}/{topic}")
     query = publish_stream(stream, checkpoint, format, path, every, **options)
     if every is None:
         query.awaitTermination()

@@ -5,12 +5,10 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators import boosting
-from skyledger.operators.categories import attach_codes, category_codes
 from skyledger.operators.features import (
     ROW_KEY,
     collapse_rows,
@@ -23,7 +21,6 @@ from skyledger.plans.clean import CLEANED_PATH
 from skyledger.schema import MODEL_CATEGORICAL, MODEL_NUMERIC
 from skyledger.session import materialise
 from skyledger.sinks.run_log import append_run, run_entries
-from skyledger.sinks.tables import write_table
 from skyledger.sources.tables import read_table
 
 # Experiment and model names.
@@ -33,7 +30,7 @@ MODEL_NAME = "flight-delay-model"
 
 @dataclass
 class Trained:
-    model: PipelineModel
+    model: boosting.DelayModel
     metrics: DataFrame
     scored: DataFrame
 
@@ -81,26 +78,14 @@ def run_training(
     fit_on: str = "train",
     **model_options,
 ) -> Trained:
-    """From the cleaned table to a stored model and its entry in the run log.
-
-    A category column with too many values for a label list is given its rank
-    among the sorted values as a number; the codes are stored with the model.
-    """
+    """From the cleaned table to a stored model and its entry in the run log."""
     flights = read_table(spark, source)
     table = training_table(flights)
-    numeric, categorical = list(MODEL_NUMERIC), list(MODEL_CATEGORICAL)
-    wide = boosting.wide_columns(table, categorical)
-    if wide:
-        seen = table if fit_on == "all" else table.filter("in_train")
-        write_table(category_codes(seen, *wide), f"{target}/codes")
-        codes = read_table(spark, f"{target}/codes")
-        for column in wide:
-            table = attach_codes(table, codes, column, f"{column}_code")
-            numeric.append(f"{column}_code")
-            categorical.remove(column)
-    trained = train_and_evaluate(table, numeric, categorical, fit_on, **model_options)
+    trained = train_and_evaluate(table, fit_on=fit_on, **model_options)
     params = {
-        "objective": "binary:logistic",
+        "loss": "logistic",
+        "categories": "sorted codes as numbers",
+        "max_bins": boosting.MAX_BINS,
         "max_depth": boosting.MAX_DEPTH,
         "learning_rate": boosting.LEARNING_RATE,
         "trees": boosting.TREES,

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from skyledger.session import scratch_path, send_code_with_tasks
 from skyledger.sinks.messages import to_messages
 from skyledger.sources.archives import find_archives, open_path
+from skyledger.sources.delimited import KEEP_TEXT
 
 send_code_with_tasks(__name__)
 
@@ -33,7 +34,7 @@ def as_raw_text(df: DataFrame) -> DataFrame:
 def write_raw_csv(df: DataFrame, label: str) -> str:
     """The table as raw delimited files."""
     path = scratch_path(df.sparkSession, label)
-    as_raw_text(df).write.option("header", "true").option("escape", '"').csv(path)
+    as_raw_text(df).write.option("header", "true").options(**KEEP_TEXT).csv(path)
     return path
 
 
@@ -68,6 +69,7 @@ def write_archives(df: DataFrame, label: str, year: str = "Year") -> str:
     (
         raw.hint("rebalance", F.col("pack"))
         .write.option("header", "true")
+        .options(**KEEP_TEXT)
         .partitionBy("pack")
         .csv(f"{root}/csv")
     )

@@ -48,24 +48,25 @@ def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     def table(name):
         return read_table(spark, f"{sf_dir}/{name}.parquet", TABLES[name])
 
-    def with_nation(places, key, name):
-        nation = table("nation").select(F.col("n_nationkey"), F.col("n_name").alias(name))
-        return places.join(nation, F.col(key) == F.col("n_nationkey"), "left").drop("n_nationkey")
+    def looked_up(rows, key, dimension, dimension_key):
+        return rows.join(dimension, F.col(key) == F.col(dimension_key), "left").drop(dimension_key)
 
-    # Dimensions are completed among themselves first, so that the line items, the
-    # one table that really grows, go through one join per foreign key.
+    def nation(name):
+        return table("nation").select(F.col("n_nationkey").alias(f"{name}_key"), F.col("n_name").alias(name))
+
+    # One lookup after the other: each is planned by the size of its own table. Joined
+    # among themselves first, dimensions would be weighed by the product of their inputs.
     rows = table("lineitem")
     if {"Dest", "DepDelay", "ArrDelay"} & set(wanted):
-        orders = table("orders")
-        if "Dest" in wanted:
-            customers = with_nation(table("customer"), "c_nationkey", "dest_name")
-            orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
-        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        rows = looked_up(rows, "l_orderkey", table("orders"), "o_orderkey")
+    if "Dest" in wanted:
+        rows = looked_up(rows, "o_custkey", table("customer"), "c_custkey")
+        rows = looked_up(rows, "c_nationkey", nation("dest_name"), "dest_name_key")
     if "UniqueCarrier" in wanted:
-        rows = rows.join(table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
+        rows = looked_up(rows, "l_partkey", table("part").withColumnRenamed("p_partkey", "part"), "part")
     if "Origin" in wanted:
-        suppliers = with_nation(table("supplier"), "s_nationkey", "origin_name")
-        rows = rows.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        rows = looked_up(rows, "l_suppkey", table("supplier"), "s_suppkey")
+        rows = looked_up(rows, "s_nationkey", nation("origin_name"), "origin_name_key")
 
     returned = F.col("l_returnflag").eqNullSafe("R")
     line = F.col("l_linenumber")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.flights import day_file_key
 from skyledger.schema import DATE_KEY
-from skyledger.sources.delimited import CSV_OPTIONS
+from skyledger.sources.delimited import CSV_OPTIONS, KEEP_TEXT
 from skyledger.sources.tables import source_guard
 
 # Directory columns. They are derived, so the files keep every original column.
@@ -44,17 +44,18 @@ def write_day_files(df: DataFrame, path: str, date_key=DATE_KEY) -> str:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", "true")
-        .option("escape", '"')
+        .options(**KEEP_TEXT)
         .partitionBy(*LAYOUT)
         .csv(path)
     )
     return path
 
 
-def read_day_files(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read written days back; ``schema`` is that of the files."""
+def read_day_files(spark: SparkSession, path: str, schema, multi_line: bool = False) -> DataFrame:
+    """Read written days back; ``schema`` is that of the files. Values with line breaks
+    need ``multi_line``, which stops files being split."""
     with source_guard(path):
-        files = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+        files = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
     return files.drop(*LAYOUT)
 
 

@@ -15,6 +15,10 @@ from skyledger.sources.tables import source_guard
 
 # Quotes inside a quoted field are doubled, not backslash-escaped.
 CSV_OPTIONS = {"header": "true", "escape": '"'}
+# For writers, which otherwise cut off blanks around a value.
+KEEP_TEXT = {
+    "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 
 class MissingColumnsError(ValueError):

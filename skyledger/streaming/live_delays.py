@@ -75,12 +75,15 @@ def wait_for_any(spark: SparkSession, timeout: int | None = None) -> bool | None
     return spark.streams.awaitAnyTermination(timeout)
 
 
-def wait_for_all(queries: list[StreamingQuery], timeout: float = 3600) -> None:
-    """Block until all queries have ended; stop the rest on failure or timeout."""
-    deadline = time.monotonic() + timeout
+def wait_for_all(queries: list[StreamingQuery], timeout: float | None = None) -> None:
+    """Block until all queries have ended, however long it takes; stop the rest on
+    failure, or after ``timeout`` seconds where a caller sets a limit."""
+    deadline = None if timeout is None else time.monotonic() + timeout
     try:
         for query in queries:
-            if not query.awaitTermination(max(1, int(deadline - time.monotonic()))):
+            if deadline is None:
+                query.awaitTermination()
+            elif not query.awaitTermination(max(1, int(deadline - time.monotonic()))):
                 raise TimeoutError(f"query {query.id} still running after {timeout} s")
     finally:
         for query in queries:

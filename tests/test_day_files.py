@@ -60,3 +60,11 @@ def test_a_day_far_larger_than_the_others_is_written_by_several_tasks(spark, tmp
 def test_layout_columns_may_not_collide(raw_flights, tmp_path):
     with pytest.raises(ValueError, match="layout"):
         write_day_files(raw_flights.withColumn("Y", F.lit(1)), str(tmp_path / "out"))
+
+
+def test_text_comes_back_as_it_was(spark, make_flights, tmp_path):
+    texts = [" WN ", "a\nb", 'say "x", y', "\tZ"]
+    rows = [{"Year": 2008, "Month": 1, "DayofMonth": 1, "UniqueCarrier": t, "FlightNum": i} for i, t in enumerate(texts)]
+    path = write_day_files(make_flights(rows, ARCHIVE_FIELDS), str(tmp_path / "out"))
+    back = read_day_files(spark, path, flight_schema(ARCHIVE_FIELDS), multi_line=True)
+    assert rows_of(back.select("FlightNum", "UniqueCarrier")) == list(enumerate(texts))

@@ -8,7 +8,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skyledger import operators as op
-from skyledger.operators import boosting
 from skyledger.operators.features import rows_without_hour
 from skyledger.plans.training import run_training, train_and_evaluate, training_table
 from skyledger.sinks import read_runs
@@ -167,13 +166,19 @@ def test_unseen_and_unknown_categories_can_be_scored(spark):
     assert all(0 <= r["probability"] <= 1 for r in scored.collect())
 
 
-def test_wide_category_is_trained_as_a_number(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(boosting, "MAX_LABELS", 4)
-    monkeypatch.setattr(boosting.wide_columns, "__defaults__", (boosting.MODEL_CATEGORICAL, 4))
+def test_a_loaded_model_scores_raw_rows_of_any_cardinality(spark, tmp_path):
     source, target = str(tmp_path / "flights"), str(tmp_path / "model")
-    planted(spark, 3000).write.parquet(source)
-    trained = run_training(spark, source, target, trees=2, max_depth=3)
-    assert "Origin_code" in trained.scored.columns
-    assert rows_of(spark.read.parquet(f"{target}/codes").filter("column = 'Origin'").drop("column")) == [(f"O{i}", i) for i in range(5)]
-    with pytest.raises(ValueError, match="Origin"):
-        op.fit_delay_model(training_table(planted(spark, 3000)), trees=1)
+    wide = planted(spark, 3000).withColumn("Origin", F.concat(F.lit("O"), F.col("FlightNum").cast("string")))
+    wide.write.parquet(source)
+    run_training(spark, source, target, trees=2, max_depth=3)
+    model = op.load_model(f"{target}/flight-delay-model")
+    codes = rows_of(model.codes.filter("column = 'Origin'").select("category", "code"))
+    assert len(codes) > 1000 and [c for _, c in codes] == list(range(len(codes)))
+    scored = op.score_flights(model, training_table(wide))
+    assert scored.filter("probability between 0 and 1").count() == training_table(wide).count()
+
+
+def test_missing_prediction_counts_as_not_flagged(spark):
+    df = spark.createDataFrame([(1, None), (0, None), (1, 1)], "IsDelayed int, prediction int")
+    m = op.classification_metrics(df).first()
+    assert (m.tp, m.fp, m.fn, m.tn) == (1.0, 0.0, 1.0, 1.0)

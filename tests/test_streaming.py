@@ -178,3 +178,18 @@ def test_a_failing_query_stops_the_others(spark, raw_folder, tmp_path):
     with pytest.raises(Exception, match="broken on purpose"):
         wait_for_all(queries, 60)
     assert not any(q.isActive for q in queries)
+
+
+def test_jobs_started_again_without_a_checkpoint_go_on(spark, raw_folder, tmp_path):
+    topic, tables = str(tmp_path / "topic"), str(tmp_path / "tables")
+    for _ in range(2):
+        run_publish(spark, raw_folder, format="text", path=topic, files_per_batch=1)
+        wait_for_all(run_live(spark, file_messages(spark, topic), tables, keys=("UniqueCarrier",), available_now=True))
+    sent = spark.read.text(topic).count()
+    assert sent == spark.read.csv(raw_folder, header=True).count()
+    assert spark.read.parquet(f"{tables}/UniqueCarrier").agg(F.sum("NrFlights")).first()[0] == sent
+
+
+def test_a_pace_without_batches_is_refused(spark, raw_folder, tmp_path):
+    with pytest.raises(ValueError, match="files_per_batch"):
+        run_publish(spark, raw_folder, format="text", path=str(tmp_path / "topic"), every="1 second")
