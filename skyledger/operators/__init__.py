@@ -21,6 +21,7 @@ from skyledger.operators.outcomes import (
     archive_outcomes,
     outcome_counts,
     rows_of_good_archives,
+    rows_by_day,
     with_rows_kept,
 )
 from skyledger.operators.ranking import best_at, top_carriers, top_destinations, top_per_group
@@ -69,6 +70,7 @@ __all__ = [
     "top_carriers",
     "top_destinations",
     "top_per_group",
+    "rows_by_day",
     "with_rows_kept",
     "with_split",
 ]

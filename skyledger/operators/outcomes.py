@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.schema import DATE_KEY
 from skyledger.session import materialise
 from skyledger.sources.archives import ERROR, OK, ROW
 
@@ -20,9 +21,17 @@ def archive_outcomes(staged: DataFrame) -> DataFrame:
     )
 
 
-def with_rows_kept(outcomes: DataFrame, kept: DataFrame) -> DataFrame:
-    """Add how many rows of each archive were kept; both sides have one row per archive."""
-    counts = kept.groupBy("archive").agg(F.count("*").alias("rows_kept"))
+def rows_by_day(kept: DataFrame, date_key=DATE_KEY) -> DataFrame:
+    """Stored number of kept rows per archive and day, the base of outcomes and manifest.
+
+    Each task sends one row per archive and day it saw.
+    """
+    return materialise(kept.groupBy("archive", *date_key).agg(F.count("*").alias("rows")), "day-counts")
+
+
+def with_rows_kept(outcomes: DataFrame, counts: DataFrame) -> DataFrame:
+    """Add how many rows of each archive were kept, from :func:`rows_by_day`."""
+    counts = counts.groupBy("archive").agg(F.sum("rows").alias("rows_kept"))
     return outcomes.join(counts, "archive", "left").select(
         "archive", "status", "rows_read",
         F.coalesce("rows_kept", F.lit(0)).cast("bigint").alias("rows_kept"), "error",

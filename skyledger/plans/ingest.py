@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.operators.outcomes import archive_outcomes, rows_of_good_archives, with_rows_kept
+from skyledger.operators.outcomes import archive_outcomes, rows_by_day, rows_of_good_archives, with_rows_kept
 from skyledger.operators.repair import drop_incomplete
 from skyledger.schema import ARCHIVE_FIELDS, DATE_KEY
 from skyledger.session import materialise
@@ -75,9 +75,9 @@ def run_ingest(
     staged = stage_archives(spark, source, fields, opener)
     outcomes = stored_outcomes(staged)
     kept = dated_rows(staged, outcomes, fields)
-    rows = kept.select(*fields)
-    write_day_files(rows, target)
+    write_day_files(kept.select(*fields), target)
+    counts = rows_by_day(kept)
     return Ingest(
-        outcomes=with_rows_kept(outcomes, kept),
-        manifest=day_manifest(rows, prefix=target, bucket=bucket),
+        outcomes=with_rows_kept(outcomes, counts),
+        manifest=day_manifest(counts, prefix=target, bucket=bucket, counted="rows"),
     )

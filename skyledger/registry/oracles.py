@@ -193,8 +193,8 @@ _SQL = {
         UniqueCarrier, Origin, Dest, {_LABEL} as IsDelayed, FlightNum
         from flights where Cancelled = 0 and DepTime is not null""",
     "flights_without_hour": "select count(*) as rows from flights where Cancelled = 0 and DepTime is null",
-    "weighted_features": f"""select DayOfWeek, UniqueCarrier, {_LABEL} as IsDelayed,
-        cast(count(*) as double) as weight from flights
+    "weighted_features": f"""select Month, DayOfWeek, cast(floor(CRSDepTime / 100) as integer) as DepHour,
+        UniqueCarrier, Origin, Dest, {_LABEL} as IsDelayed, cast(count(*) as double) as weight from flights
         where Cancelled = 0 and CRSDepTime is not null group by all""",
     "category_codes": " union all ".join(
         f"""select '{c}' as "column", category, dense_rank() over (order by category) - 1 as code

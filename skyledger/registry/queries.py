@@ -194,7 +194,7 @@ def zip_ingest_rows(spark, sf_dir):
 def zip_ingest_status(spark, sf_dir):
     staged = stage_archives(spark, packed_flights(spark, sf_dir))
     outcomes = stored_outcomes(staged)
-    outcomes = op.with_rows_kept(outcomes, dated_rows(staged, outcomes))
+    outcomes = op.with_rows_kept(outcomes, op.rows_by_day(dated_rows(staged, outcomes)))
     pack = F.regexp_extract("archive", r"flights_(\d+)_", 1).cast("int").alias("pack")
     return outcomes.groupBy(pack, "status").agg(
         F.sum("rows_read").alias("rows_read"), F.sum("rows_kept").alias("rows_kept")
@@ -204,8 +204,8 @@ def zip_ingest_status(spark, sf_dir):
 @query
 def zip_ingest_manifest(spark, sf_dir):
     staged = stage_archives(spark, packed_flights(spark, sf_dir))
-    rows = dated_rows(staged, stored_outcomes(staged))
-    return day_manifest(rows, prefix="days").select("key", "rows")
+    counts = op.rows_by_day(dated_rows(staged, stored_outcomes(staged)))
+    return day_manifest(counts, prefix="days", counted="rows").select("key", "rows")
 
 
 # --- traffic and delays ---------------------------------------------------------
@@ -470,9 +470,7 @@ def flights_without_hour(spark, sf_dir):
 
 @query
 def weighted_features(spark, sf_dir):
-    return op.collapse_rows(
-        op.delay_features(model_input(spark, sf_dir), numeric=("DayOfWeek",), categorical=("UniqueCarrier",))
-    )
+    return op.collapse_rows(op.delay_features(model_input(spark, sf_dir)))
 
 
 @query

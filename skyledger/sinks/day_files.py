@@ -60,16 +60,18 @@ def read_day_files(spark: SparkSession, path: str, schema, multi_line: bool = Fa
 
 
 def day_manifest(
-    df: DataFrame, prefix: str = "", bucket: str = "", date_key=DATE_KEY
+    df: DataFrame, prefix: str = "", bucket: str = "", date_key=DATE_KEY, counted: str | None = None
 ) -> DataFrame:
     """What the writer stores per day: ``bucketname, key, path, rows``.
 
     ``key`` is the logical name of the day, ``path`` the directory holding its
     part files. The sum of ``rows`` is the number of lines written. Only the date
-    columns are scanned, and each task reduces its rows to one per day.
+    columns are scanned, and each task reduces its rows to one per day. ``counted`` names
+    a column of row counts where ``df`` has been counted already.
     """
     year, month, day = date_key
-    days = df.groupBy(*date_key).agg(F.count("*").alias("rows"))
+    amount = F.sum(counted) if counted else F.count("*")
+    days = df.groupBy(*date_key).agg(amount.alias("rows"))
     layout = F.format_string(
         "/".join(f"{name}={pattern}" for name, pattern in LAYOUT.items()),
         F.col(year), F.col(month), F.col(year), F.col(month), F.col(day),

@@ -46,9 +46,9 @@ def raw_flights(make_flights):
         "CRSArrTime", "UniqueCarrier", "FlightNum",
     )
     values = [
-        (2008, 1, 15, 2, 1430, 1430, 1600, 1600, "WN", 101),
-        (2008, 1, 16, 3, None, 1500, None, 1630, "AA", 202),
-        (2008, 2, 1, 5, 1000, 1000, 1130, 1130, "DL", 303),
+        (2011, 3, 7, 1, 617, 610, 748, 735, "QX", 4410),
+        (2011, 3, 9, 3, None, 2005, None, 2140, "ZY", 512),
+        (2011, 11, 30, 3, 1244, 1230, 1351, 1355, "KV", 77),
     ]
     return make_flights([dict(zip(columns, v)) for v in values], columns)
 

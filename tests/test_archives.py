@@ -11,7 +11,7 @@ from skyledger.sinks import read_day_files
 from skyledger.sources import MissingSourceError, find_archives
 
 HEADER = ",".join(ARCHIVE_FIELDS) + "\n"
-GOOD = HEADER + "2008,1,15,2,1430,1430,1600,1600,WN,101\n"
+GOOD = HEADER + "2011,3,7,1,617,610,748,735,QX,7101\n"
 
 
 def zipped(**members):
@@ -23,7 +23,7 @@ def zipped(**members):
 
 
 def damaged_second_member():
-    data = zipped(a__csv=GOOD, b__csv=GOOD.replace("101", "102"))
+    data = zipped(a__csv=GOOD, b__csv=GOOD.replace("7101", "7102"))
     with zipfile.ZipFile(io.BytesIO(data)) as source:
         info = source.infolist()[1]
     start = info.header_offset + 30 + len(info.filename)
@@ -35,12 +35,12 @@ def archives(tmp_path):
     root = tmp_path / "in"
     (root / "deep er").mkdir(parents=True)
     two = zipped(
-        first__csv=GOOD + "2008,1,NA,3,NA,1500,NA,1630,AA,202\n",
-        sub_slash_second__csv=HEADER + "2008.0,2,1,5,1000.0,1000,1130,1130,DL,303\n",
+        first__csv=GOOD + "2011,3,NA,3,NA,2005,NA,2140,ZY,512\n",
+        sub_slash_second__csv=HEADER + "2011.0,11,30,3,1244.0,1230,1351,1355,KV,77\n",
         notes__txt="ignored",
     )
     (root / "two.zip").write_bytes(two)
-    (root / "deep er" / "nested.zip").write_bytes(zipped(x__csv=GOOD.replace("101", "404")))
+    (root / "deep er" / "nested.zip").write_bytes(zipped(x__csv=GOOD.replace("7101", "404")))
     (root / "none.zip").write_bytes(zipped(readme__txt="no table here"))
     (root / "corrupt.zip").write_bytes(b"this is not a zip file")
     (root / "columns.zip").write_bytes(zipped(x__csv="Year,Month\n2008,1\n"))
@@ -82,18 +82,18 @@ def test_outcomes_rows_days_and_manifest(spark, archives, tmp_path):
     assert rows_of(outcome_counts(done.outcomes)) == [("ERROR", 4, 0, 0), ("OK", 2, 4, 3)]
 
     assert rows_of(done.manifest.select("bucketname", "key", "rows")) == [
-        ("store", f"{target}/2008/01/2008_01_15.csv", 2),
-        ("store", f"{target}/2008/02/2008_02_01.csv", 1),
+        ("store", f"{target}/2011/03/2011_03_07.csv", 2),
+        ("store", f"{target}/2011/11/2011_11_30.csv", 1),
     ]
     paths = {r["path"] for r in done.manifest.collect()}
     assert paths == {
-        f"{target}/y=2008/m=01/d=2008_01_15", f"{target}/y=2008/m=02/d=2008_02_01",
+        f"{target}/y=2011/m=03/d=2011_03_07", f"{target}/y=2011/m=11/d=2011_11_30",
     }
     written = read_day_files(spark, target, flight_schema(ARCHIVE_FIELDS))
     assert rows_of(written) == [
-        (2008, 1, 15, 2, 1430, 1430, 1600, 1600, "WN", 101),
-        (2008, 1, 15, 2, 1430, 1430, 1600, 1600, "WN", 404),
-        (2008, 2, 1, 5, 1000, 1000, 1130, 1130, "DL", 303),
+        (2011, 3, 7, 1, 617, 610, 748, 735, "QX", 404),
+        (2011, 3, 7, 1, 617, 610, 748, 735, "QX", 7101),
+        (2011, 11, 30, 3, 1244, 1230, 1351, 1355, "KV", 77),
     ]
 
 
@@ -126,12 +126,12 @@ def test_short_rows_late_in_a_member_are_padded_and_nothing_repeats(spark, tmp_p
 
 def test_fields_beyond_the_header_are_left_out(spark, tmp_path):
     rows, closing = read_one(spark, tmp_path / "in", GOOD + GOOD.splitlines()[1] + ",too,many\n")
-    assert [r["FlightNum"] for r in rows.collect()] == ["101", "101"]
+    assert [r["FlightNum"] for r in rows.collect()] == ["7101", "7101"]
     assert (closing["outcome"], closing["rows_read"]) == ("OK", 2)
 
 
 def test_quoted_line_breaks_and_an_empty_member(spark, tmp_path):
-    quoted = GOOD.replace("WN", '"W\n""N"')
+    quoted = GOOD.replace("QX", '"W\n""N"')
     rows, _ = read_one(spark, tmp_path / "in", quoted)
     assert [r["UniqueCarrier"] for r in rows.collect()] == ['W\n"N']
     rows, closing = read_one(spark, tmp_path / "header", HEADER)
@@ -146,7 +146,7 @@ def test_members_of_one_archive_are_read_by_several_tasks(spark, tmp_path):
     from skyledger.sources.archives import list_members, read_members, spread_members
 
     (tmp_path / "in").mkdir()
-    many = {f"m{i}__csv": GOOD.replace("101", str(i)) for i in range(16)}
+    many = {f"m{i}__csv": GOOD.replace("7101", str(i)) for i in range(16)}
     (tmp_path / "in" / "big.zip").write_bytes(zipped(**many))
     members = spread_members(list_members(find_archives(spark, str(tmp_path / "in"))))
     rows = read_members(members).filter("outcome = 'ROW'")

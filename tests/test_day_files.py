@@ -10,7 +10,7 @@ from skyledger.sinks import day_manifest, read_day_files, write_day_files
 
 def test_three_rows_on_three_days(spark, raw_flights, tmp_path):
     manifest = rows_of(day_manifest(raw_flights, prefix="prefix").select("key", "rows"))
-    assert manifest[0] == ("prefix/2008/01/2008_01_15.csv", 1)
+    assert manifest[0] == ("prefix/2011/03/2011_03_07.csv", 1)
     assert len(manifest) == 3 and sum(n for _, n in manifest) == 3
     path = write_day_files(raw_flights, str(tmp_path / "out"))
     assert len(glob.glob(f"{path}/y=*/m=*/d=*/part-*")) == 3
@@ -20,16 +20,16 @@ def test_three_rows_on_three_days(spark, raw_flights, tmp_path):
 
 def test_files_keep_the_date_columns(raw_flights, tmp_path):
     path = write_day_files(raw_flights, str(tmp_path / "out"))
-    (part,) = glob.glob(f"{path}/y=2008/m=01/d=2008_01_16/part-*")
-    assert open(part).read() == ",".join(ARCHIVE_FIELDS) + "\n2008,1,16,3,,1500,,1630,AA,202\n"
+    (part,) = glob.glob(f"{path}/y=2011/m=03/d=2011_03_09/part-*")
+    assert open(part).read() == ",".join(ARCHIVE_FIELDS) + "\n2011,3,9,3,,2005,,2140,ZY,512\n"
 
 
 def test_only_touched_days_are_replaced(spark, raw_flights, make_flights, tmp_path):
     path = write_day_files(raw_flights, str(tmp_path / "out"))
-    new = {"Year": 2008, "Month": 1, "DayofMonth": 15, "UniqueCarrier": "UA", "FlightNum": 9}
+    new = {"Year": 2011, "Month": 3, "DayofMonth": 7, "UniqueCarrier": "UA", "FlightNum": 9}
     write_day_files(make_flights([new], ARCHIVE_FIELDS), path)
     back = read_day_files(spark, path, flight_schema(ARCHIVE_FIELDS))
-    assert rows_of(back.select("UniqueCarrier", "FlightNum")) == [("AA", 202), ("DL", 303), ("UA", 9)]
+    assert rows_of(back.select("UniqueCarrier", "FlightNum")) == [("KV", 77), ("UA", 9), ("ZY", 512)]
 
 
 def test_a_day_far_larger_than_the_others_is_written_by_several_tasks(spark, tmp_path):
