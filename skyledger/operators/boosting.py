@@ -68,7 +68,8 @@ def fit_delay_model(
     )
     if weight:
         trees_stage = trees_stage.setWeightCol(weight)
-    coded = with_codes(train, codes, categorical)
+    # Stored, so that the boosting rounds read numbers instead of joining again.
+    coded = materialise(with_codes(train, codes, categorical), "coded-rows")
     return DelayModel(Pipeline(stages=[assembler, trees_stage]).fit(coded), codes)
 
 
