@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -196,10 +198,10 @@ def identify_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame
     rows without doc_id are held out too. Equal texts get equal predictions; other
     columns are not read; an empty table gives an empty table.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = pickle.loads(shared.value)
         for batch in batches:
             for chunk in chunks_of(batch, "text"):
                 texts = chunk.column("text").to_pylist()

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -296,10 +298,10 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | None, threshold: floa
     out too. Equal texts get equal scores; other columns are not read; an empty table
     gives an empty table.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = pickle.loads(shared.value)
         for batch in batches:
             for chunk in chunks_of(batch, "text", CHUNK_BYTES):
                 texts = [lowered(t) for t in chunk.column("text").to_pylist()]
@@ -323,11 +325,11 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | None, threshold: floa
 def drop_toxic(docs: DataFrame, model: ToxicityModel | None, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with all their columns; scores
     are those of :func:`score_toxicity`, so rows without text stay."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     (plain,) = spare_names(docs, "plain_text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = pickle.loads(shared.value)
         for batch in batches:
             for chunk in chunks_of(batch, plain, CHUNK_BYTES):
                 texts = [lowered(t) for t in chunk.column(plain).to_pylist()]
