@@ -20,8 +20,8 @@ SUBSET = 0.75
 STEPS = 4
 #: Rows a group needs for an estimate of its own; smaller ones use that of all rows.
 LEAST_ROWS = 60
-#: Squared distance beyond which a row goes: the 1 - 1e-6 point of chi-square, 5 degrees.
-CUTOFF = 37.0
+#: Squared distance beyond which a row goes: the 0.999 point of chi-square, 5 degrees.
+CUTOFF = 20.515
 #: Scale grid of medians and distance grid of subset borders (steps per unit and doubling).
 GRID, DOUBLING = 1024, 64
 
@@ -32,10 +32,12 @@ REPEAT_PERCENT = 20
 WHITE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 
-#: The statistic vector and the least spread a statistic is given: below it, a group whose
-#: texts all agree would reject a text for a single odd line or sign.
+#: The statistic vector and the least spread of each, near what one more count changes in a
+#: short text: without it, a group whose texts all agree would reject a text for a single
+#: odd line or sign. Its square is added to the variance, so it matters only where the rows
+#: spread less than that. Alone, a statistic rejects from about 4.5 spreads on.
 STATISTICS = ("log_words", "word_length", "symbol_rate", "dup_line_rate", "repeat_rate")
-LEAST_SPREAD = (0.75, 0.15, 0.03, 0.06, 0.08)
+LEAST_SPREAD = (0.3, 0.1, 0.02, 0.05, 0.03)
 
 
 def _with(value: Column, body) -> Column:

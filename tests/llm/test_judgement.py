@@ -83,6 +83,28 @@ def test_quality_edges(edge_docs, make_docs):
     assert quality.quality_rules(make_docs([])).count() == 0
 
 
+def test_an_outlier_of_each_statistic_goes(make_docs):
+    rng = random.Random(6)
+    made = lambda n, size: ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(size - 2, size + 2))) for _ in range(n)]
+    lines = lambda words, n: ["  ".join(words[k::n]) for k in range(n)]
+    texts = [(i, "\n".join(lines(made(rng.randint(80, 400), 5), 10))) for i in range(150)]
+    doubled = lines(made(200, 5), 10)
+    twice = made(200, 5)
+    planted = {
+        "log_words": " ".join(made(20_000, 5)),
+        "word_length": " ".join(made(200, 11)),
+        "symbol_rate": " ".join(made(200, 5) + ["#"] * 30),
+        "dup_line_rate": "\n".join(doubled[:7] + ["ab", "ab", "ab", "ab"]),
+        "repeat_rate": " ".join(twice + twice[:20]),
+    }
+    docs = make_docs(texts + [(1000 + k, t) for k, t in enumerate(planted.values())])
+    rows = {r.doc_id: r for r in quality.quality_rules(docs).collect()}
+    outliers = {name: rows[1000 + k] for k, name in enumerate(planted)}
+    assert not any(r.base_failed for r in outliers.values())
+    assert {name: r.kept for name, r in outliers.items()} == dict.fromkeys(quality.STATISTICS, False)
+    assert sum(rows[i].kept for i in range(150)) >= 145
+
+
 def test_language_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.train_language_model(docs, per_language=60)
