@@ -80,19 +80,21 @@ def _unpack(table: pa.Table) -> tuple[np.ndarray, ...]:
     return np.repeat(flat("orders"), counts), np.repeat(flat("row_keys"), counts), hashes
 
 
-def _beaten(order: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which entries have a smaller document with the same window; which is the first of each window."""
+def _beaten(order: np.ndarray, key: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries have a smaller document with the same window; which are the first of each window."""
     if not len(hashes):
         return np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int64)
-    place = np.argsort(hashes)
-    ordered, ids = hashes[place], order[place]
+    place = np.lexsort((key, hashes)) if key.any() else np.argsort(hashes)
+    ordered, ids, keys = hashes[place], order[place], key[place]
     starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     least = np.repeat(np.minimum.reduceat(ids, starts), np.diff(np.append(starts, len(ids))))
     beaten = np.empty(len(ids), dtype=bool)
     beaten[place] = ids > least
-    # One entry with the least id stands for its window; ties are copies within a document.
+    # One entry with the least id stands for its window; ties are copies within a document, or
+    # rows without id, each of which may lose the window to a document seen elsewhere.
     winners = np.flatnonzero(ids == least)
-    lead = np.flatnonzero(np.append(True, ordered[winners][1:] != ordered[winners][:-1]))
+    hashes, keys = ordered[winners], keys[winners]
+    lead = np.flatnonzero(np.append(True, (hashes[1:] != hashes[:-1]) | (keys[1:] != keys[:-1])))
     return beaten, place[winners[lead]]
 
 
@@ -106,7 +108,8 @@ def _send_windows(width: int, groups: int):
 
     Within the chunk, a window found in several documents is settled for all but the
     smallest of them, and only that one is sent to be counted. A passage that every
-    document holds thus costs an entry for each chunk, not for each document.
+    document holds thus costs an entry for each chunk, not for each document. Where only
+    rows without id hold it, none is settled and each different text sends its entry.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +119,7 @@ def _send_windows(width: int, groups: int):
                 hashes, per_text = window_hashes(words, width)
                 number = lambda name: np.repeat(chunk.column(name).to_numpy(), per_text)
                 order, key = number("ord"), number("row_key")
-                beaten, lead = _beaten(order, hashes)
+                beaten, lead = _beaten(order, key, hashes)
                 lead.sort()
                 group = (hashes[lead] % np.uint64(groups)).astype(np.int64)
                 rows = list(_pack(group, False, order[lead], key[lead], hashes[lead]))
@@ -133,7 +136,7 @@ def _count(groups: int):
     def work(table: pa.Table) -> pa.Table:
         settled = table.column("settled").combine_chunks()
         order, key, hashes = _unpack(table.filter(pc.invert(settled)))
-        beaten, _ = _beaten(order, hashes)
+        beaten, _ = _beaten(order, key, hashes)
         order, key, hashes = order[beaten], key[beaten], hashes[beaten]
         place = np.lexsort((key, order))
         order, key = order[place], key[place]

@@ -189,6 +189,17 @@ def test_repeats_match_brute_force(make_docs):
         assert sum(x.behind - x.first for x in r.removed) == r.n_removed
 
 
+def test_rows_without_id_each_lose_a_passage_of_another_partition(make_docs):
+    passage = [f"p{k}" for k in range(9)]
+    numbered = [(i, " ".join([f"n{i}", *passage])) for i in (3, 8)]
+    unnumbered = [(None, " ".join([f"a{i}", *passage, f"b{i}", "u v w x y z"])) for i in range(4)]
+    docs = make_docs(numbered).coalesce(2).union(make_docs(unnumbered).coalesce(2))
+    found = substrings.remove_repeats(docs, 5).collect()
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in found]
+    assert sorted(got, key=str) == sorted(plain_removal(numbered + unnumbered, 5), key=str)
+    assert {r.n_removed for r in found if r.doc_id is None} == {9}
+
+
 def test_repeats_edges(edge_docs, make_docs):
     got = {(r.doc_id, r.n_words, r.n_removed) for r in substrings.remove_repeats(edge_docs).collect()}
     assert got == {(None, 4, 0), (1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 1, 0), (5, 60_000, 0), (6, 32, 0), (7, 60_000, 60_000)}
