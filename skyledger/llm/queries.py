@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontamination, language, packing, pii, quality, sharding, simhash, substrings, token_files, toxicity
+from skyledger.llm import (
+    conversations, decontamination, language, packing, pii, quality, sharding, simhash, substrings, token_files, toxicity,
+    vector_codes, warc,
+)
 
 #: The key of the registered query only; a deployment passes its own secret.
 SURROGATE_KEY = "registered-query"
@@ -85,10 +88,27 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.repair_conversations(rows, alive=F.col("alive"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress_vectors(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256"
+    )
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_toxicity, op2_sharding, op3_pii, op4_simhash, op5_quality, op6_decontamination, op7_packing, op8_language,
-        op9_token_counts, op10_substrings,
+        op9_token_counts, op10_substrings, op11_conversations, op12_vector_codes, op13_warc,
     )
     return {f.__name__: f for f in operators}
 
