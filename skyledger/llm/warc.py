@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.session import materialise, scratch_path, send_code_with_tasks
-from skyledger.sources.archives import open_path
+from skyledger.sources.archives import open_path, spread_members
 
 send_code_with_tasks(__name__)
 
@@ -222,7 +222,10 @@ def dictionary_of(handle) -> bytes:
     if len(head) == 8:
         magic, size = struct.unpack("<II", head)
         if magic == DICTIONARY_FRAME:
-            return handle.read(size)
+            dictionary = handle.read(size)
+            if len(dictionary) < size:
+                raise EOFError("the archive ends within its dictionary")
+            return dictionary
     handle.seek(0)
     return b""
 
@@ -321,8 +324,8 @@ def page_row(fields: dict[str, str], block: bytes, path: str) -> tuple:
 def read_archives(files: DataFrame) -> DataFrame:
     """A row per response or revisit in the archives named by ``path``.
 
-    A task reads a file from its head, some records at a time. Files are dealt out by
-    number, as their names say nothing of the work they stand for.
+    A task reads a file from its head, some records at a time. The names are stored and
+    counted first, as so few small rows would otherwise be read by one task.
     """
     names, kinds = zip(*[field.split(" ") for field in PAGES.split(", ")])
     types = {"bigint": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
@@ -344,8 +347,7 @@ def read_archives(files: DataFrame) -> DataFrame:
                 if rows:
                     yield batch_of(rows)
 
-    tasks = max(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    return files.select("path").repartition(tasks, "path").mapInArrow(work, PAGES)
+    return spread_members(files.select("path"), "archive-files").mapInArrow(work, PAGES)
 
 
 def archive_pages(
