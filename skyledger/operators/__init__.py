@@ -22,7 +22,7 @@ from skyledger.operators.outcomes import (
     outcome_counts,
     rows_of_good_archives,
     rows_by_day,
-    with_rows_kept,
+    with_row_counts,
 )
 from skyledger.operators.ranking import best_at, top_carriers, top_destinations, top_per_group
 from skyledger.operators.repair import drop_incomplete, ensure_columns, fill_missing
@@ -71,6 +71,6 @@ __all__ = [
     "top_destinations",
     "top_per_group",
     "rows_by_day",
-    "with_rows_kept",
+    "with_row_counts",
     "with_split",
 ]

@@ -7,17 +7,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.operators.outcomes import archive_outcomes, rows_by_day, rows_of_good_archives, with_rows_kept
+from skyledger.operators.outcomes import archive_outcomes, rows_by_day, rows_of_good_archives, with_row_counts
 from skyledger.operators.repair import drop_incomplete
 from skyledger.schema import ARCHIVE_FIELDS, DATE_KEY
 from skyledger.session import materialise
-from skyledger.sinks.day_files import day_manifest, write_day_files
+from skyledger.sinks.day_files import publish_day_files
 from skyledger.sources.archives import (
+    Unpacked,
     find_archives,
     list_members,
     open_path,
-    read_members,
     spread_members,
+    unpack_members,
 )
 from skyledger.sources.delimited import type_fields
 
@@ -31,32 +32,35 @@ class Ingest:
 
 
 def stage_archives(
-    spark: SparkSession, root: str, fields=ARCHIVE_FIELDS, opener: Callable = open_path
-) -> DataFrame:
-    """Unpack every archive once into a stored table of text rows and outcomes.
-
-    An archive counts only if all of it could be read, which is known after its
-    last member. The rows therefore go to a table first, and those of failed
-    archives are taken out afterwards without unpacking again. A member closes with
-    its outcome, so the stored row groups hold almost only data and a query for the
-    outcomes skips them by their statistics. Partitioning the table by outcome
-    would make every task sort all of its rows first.
+    spark: SparkSession, root: str, fields=ARCHIVE_FIELDS, opener: Callable = open_path, **options
+) -> Unpacked:
+    """Unpack every archive once into part files.
+
+    An archive counts only if all of it could be unpacked, which is known after its last
+    member and before anything is parsed.
     """
     members = spread_members(list_members(find_archives(spark, root), opener=opener))
-    return materialise(read_members(members, fields, opener=opener), "archive-rows")
+    return unpack_members(members, fields, opener=opener, **options)
 
 
-def stored_outcomes(staged: DataFrame) -> DataFrame:
+def stored_outcomes(unpacked: Unpacked) -> DataFrame:
     """One stored row per archive."""
-    return materialise(archive_outcomes(staged), "archive-outcomes")
+    return materialise(archive_outcomes(unpacked.members), "archive-outcomes")
+
+
+def typed_rows(unpacked: Unpacked, outcomes: DataFrame) -> DataFrame:
+    """Typed rows of good archives."""
+    return type_fields(rows_of_good_archives(unpacked, outcomes), unpacked.fields)
 
 
-def dated_rows(
-    staged: DataFrame, outcomes: DataFrame, fields=ARCHIVE_FIELDS, date_key=DATE_KEY
-) -> DataFrame:
+def dated_rows(unpacked: Unpacked, outcomes: DataFrame, date_key=DATE_KEY) -> DataFrame:
     """Typed rows of good archives whose date is known."""
-    rows = rows_of_good_archives(staged, outcomes)
-    return drop_incomplete(type_fields(rows, fields), date_key)
+    return drop_incomplete(typed_rows(unpacked, outcomes), date_key)
+
+
+def counted_outcomes(unpacked: Unpacked, outcomes: DataFrame) -> DataFrame:
+    """Outcomes with the rows read and kept, counted over the parsed date columns."""
+    return with_row_counts(outcomes, unpacked, rows_by_day(typed_rows(unpacked, outcomes)))
 
 
 def run_ingest(
@@ -66,18 +70,14 @@ def run_ingest(
     fields=ARCHIVE_FIELDS,
     bucket: str = "",
     opener: Callable = open_path,
+    **options,
 ) -> Ingest:
     """All archives below ``source`` to day files below ``target`` in one job.
 
-    Archives that share a day end up in the same day directory: they are united
-    before the touched days are replaced, so none overwrites another.
+    Archives that share a day end up under the same key: they are united before the
+    touched days are replaced, so none overwrites another.
     """
-    staged = stage_archives(spark, source, fields, opener)
-    outcomes = stored_outcomes(staged)
-    kept = dated_rows(staged, outcomes, fields)
-    write_day_files(kept.select(*fields), target)
-    counts = rows_by_day(kept)
-    return Ingest(
-        outcomes=with_rows_kept(outcomes, counts),
-        manifest=day_manifest(counts, prefix=target, bucket=bucket, counted="rows"),
-    )
+    unpacked = stage_archives(spark, source, fields, opener, **options)
+    outcomes = stored_outcomes(unpacked)
+    manifest = publish_day_files(dated_rows(unpacked, outcomes).select(*fields), target, bucket)
+    return Ingest(outcomes=counted_outcomes(unpacked, outcomes), manifest=manifest)

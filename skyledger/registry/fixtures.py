@@ -18,6 +18,7 @@ from skyledger.session import scratch_path, send_code_with_tasks
 from skyledger.sinks.messages import to_messages
 from skyledger.sources.archives import find_archives, open_path
 from skyledger.sources.delimited import KEEP_TEXT
+from skyledger.sources.paths import file_system
 
 send_code_with_tasks(__name__)
 
@@ -31,10 +32,10 @@ def as_raw_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias(c) for c in df.columns])
 
 
-def write_raw_csv(df: DataFrame, label: str) -> str:
-    """The table as raw delimited files."""
-    path = scratch_path(df.sparkSession, label)
-    as_raw_text(df).write.option("header", "true").options(**KEEP_TEXT).csv(path)
+def write_raw_csv(df: DataFrame, label: str = "raw", path: str | None = None) -> str:
+    """The table as raw delimited files, beside those that ``path`` holds already."""
+    path = path or scratch_path(df.sparkSession, label)
+    as_raw_text(df).write.mode("append").option("header", "true").options(**KEEP_TEXT).csv(path)
     return path
 
 
@@ -47,15 +48,9 @@ def write_messages(df: DataFrame, label: str) -> str:
 
 def write_output(path: str):
     """Binary output stream for a path as Spark prints it."""
-    from pyarrow import fs
-
-    scheme, _, rest = path.partition(":")
-    if scheme == "file":
-        system, inner = fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    else:
-        system, inner = fs.FileSystem.from_uri(path.replace("s3a:", "s3:", 1))
+    system, inner = file_system(path)
     system.create_dir(inner.rpartition("/")[0], recursive=True)
-    return system.open_output_stream(inner)
+    return system.open_output_stream(inner, compression=None)
 
 
 def write_archives(df: DataFrame, label: str, year: str = "Year") -> str:

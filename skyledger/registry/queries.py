@@ -13,7 +13,7 @@ from skyledger.operators.delays import by_delay
 from skyledger.operators.features import rows_without_hour
 from skyledger.plans.analytics import Answers, answer_questions, run_analytics
 from skyledger.plans.clean import clean_flights, run_clean
-from skyledger.plans.ingest import dated_rows, run_ingest, stage_archives, stored_outcomes
+from skyledger.plans.ingest import counted_outcomes, run_ingest, stage_archives, stored_outcomes
 from skyledger.plans.live import run_live
 from skyledger.plans.replay import run_publish
 from skyledger.plans.report import busiest_chart, punctual_chart, run_report
@@ -34,6 +34,7 @@ from skyledger.sinks import (
     day_manifest,
     preview,
     read_day_files,
+    read_published_days,
     read_runs,
     run_entries,
     to_messages,
@@ -138,8 +139,12 @@ def csv_clean_roundtrip(spark, sf_dir):
 
 @query
 def csv_projected_scan(spark, sf_dir):
-    raw = write_raw_csv(flights(spark, sf_dir), "raw-flights")
-    return read_flight_fields(spark, raw)
+    """Files of two column orders, one with a further column, under one path."""
+    rows = flights(spark, sf_dir)
+    early = F.col("Month") <= 6
+    raw = write_raw_csv(rows.filter(early), "raw-flights")
+    turned = rows.filter(~early).select(*reversed(rows.columns)).withColumn("Remark", F.lit('a "remark", quoted'))
+    return read_flight_fields(spark, write_raw_csv(turned, path=raw))
 
 
 @query
@@ -184,17 +189,17 @@ def packed_flights(spark, sf_dir) -> str:
 
 @query
 def zip_ingest_rows(spark, sf_dir):
-    """The whole ingest, read back from the day files it wrote."""
+    """The whole ingest, read back from the day files it published. Parts are cut every
+    64 KB, so most members are read by several tasks."""
     target = scratch_path(spark, "ingested-days")
-    run_ingest(spark, packed_flights(spark, sf_dir), target)
-    return read_day_files(spark, target, flight_schema(ARCHIVE_FIELDS))
+    run_ingest(spark, packed_flights(spark, sf_dir), target, part_bytes=1 << 16)
+    return read_published_days(spark, target, flight_schema(ARCHIVE_FIELDS))
 
 
 @query
 def zip_ingest_status(spark, sf_dir):
-    staged = stage_archives(spark, packed_flights(spark, sf_dir))
-    outcomes = stored_outcomes(staged)
-    outcomes = op.with_rows_kept(outcomes, op.rows_by_day(dated_rows(staged, outcomes)))
+    unpacked = stage_archives(spark, packed_flights(spark, sf_dir))
+    outcomes = counted_outcomes(unpacked, stored_outcomes(unpacked))
     pack = F.regexp_extract("archive", r"flights_(\d+)_", 1).cast("int").alias("pack")
     return outcomes.groupBy(pack, "status").agg(
         F.sum("rows_read").alias("rows_read"), F.sum("rows_kept").alias("rows_kept")
@@ -203,9 +208,10 @@ def zip_ingest_status(spark, sf_dir):
 
 @query
 def zip_ingest_manifest(spark, sf_dir):
-    staged = stage_archives(spark, packed_flights(spark, sf_dir))
-    counts = op.rows_by_day(dated_rows(staged, stored_outcomes(staged)))
-    return day_manifest(counts, prefix="days", counted="rows").select("key", "rows")
+    """Keys and rows as found in the published files."""
+    target = f"{scratch_path(spark, 'ingest')}/days"
+    manifest = run_ingest(spark, packed_flights(spark, sf_dir), target).manifest
+    return manifest.select(F.regexp_replace("key", "^.*/days/", "days/").alias("key"), "rows")
 
 
 # --- traffic and delays ---------------------------------------------------------

@@ -1,6 +1,12 @@
 """Writers: tables, day files with their manifest, messages, run log, live tables."""
 
-from skyledger.sinks.day_files import day_manifest, read_day_files, write_day_files
+from skyledger.sinks.day_files import (
+    day_manifest,
+    publish_day_files,
+    read_day_files,
+    read_published_days,
+    write_day_files,
+)
 from skyledger.sinks.live import (
     changed_groups_sink,
     console_sink,
@@ -22,8 +28,10 @@ __all__ = [
     "memory_sink",
     "preview",
     "publish_batch",
+    "publish_day_files",
     "publish_stream",
     "read_day_files",
+    "read_published_days",
     "read_runs",
     "run_entries",
     "to_messages",

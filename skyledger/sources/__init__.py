@@ -1,6 +1,6 @@
 """Readers: tables, delimited text, zip archives and message streams."""
 
-from skyledger.sources.archives import find_archives, list_members, read_members
+from skyledger.sources.archives import find_archives, list_members, read_unpacked, unpack_members
 from skyledger.sources.delimited import (
     MissingColumnsError,
     read_flight_csv,
@@ -19,8 +19,9 @@ __all__ = [
     "list_members",
     "read_flight_csv",
     "read_flight_fields",
-    "read_members",
     "read_table",
     "read_text_records",
+    "read_unpacked",
     "text_record_stream",
+    "unpack_members",
 ]

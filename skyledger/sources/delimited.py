@@ -11,20 +11,15 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.text import to_typed
 from skyledger.schema import ARCHIVE_FIELDS, FLIGHT_COLUMNS, text_schema
+from skyledger.sources.headers import CSV_OPTIONS, MissingColumnsError, header_catalogue, header_names, scan_by_position
 from skyledger.sources.tables import source_guard
 
-# Quotes inside a quoted field are doubled, not backslash-escaped.
-CSV_OPTIONS = {"header": "true", "escape": '"'}
 # For writers, which otherwise cut off blanks around a value.
 KEEP_TEXT = {
     "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
 
 
-class MissingColumnsError(ValueError):
-    """A requested column is not in the header."""
-
-
 def _scan_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All columns of the header as strings.
 
@@ -53,12 +48,29 @@ def read_flight_csv(spark: SparkSession, path: str, multi_line: bool = False) ->
 def read_flight_fields(
     spark: SparkSession, path: str, fields=ARCHIVE_FIELDS, multi_line: bool = False
 ) -> DataFrame:
-    """Only the named columns, found by header name; a missing one is an error."""
-    raw = _scan_text(spark, path, multi_line)
-    absent = [c for c in fields if c not in raw.columns]
-    if absent:
-        raise MissingColumnsError(f"{path} has no column {', '.join(absent)}")
-    return raw.select(*[to_typed(F.col(c), FLIGHT_COLUMNS.get(c, "string")).alias(c) for c in fields])
+    """Only the named columns, found by name in each file's own header.
+
+    Files may differ in the order and number of their columns: there is a scan per distinct
+    header, of the columns asked for, and the scans are united by name. A file without one
+    of the columns is an error; an empty file has no rows. ``multi_line`` allows line breaks
+    in quoted values, and stops files being split.
+    """
+    with source_guard(path):
+        catalogue = header_catalogue(spark, path)
+    headers = [r.header for r in catalogue.select("header").distinct().collect()]
+    united = None
+    for header in sorted(headers):
+        paths = path
+        if len(headers) > 1:
+            paths = [r.path for r in catalogue.filter(F.col("header") == header).select("path").collect()]
+        try:
+            rows = scan_by_position(spark, paths, header_names(header), fields, multi_line)
+        except MissingColumnsError as error:
+            raise MissingColumnsError(f"{path}: {error}") from None
+        united = rows if united is None else united.unionByName(rows)
+    if united is None:
+        raise MissingColumnsError(f"{path} has no header")
+    return type_fields(united, fields)
 
 
 def type_fields(df: DataFrame, fields=ARCHIVE_FIELDS) -> DataFrame:

@@ -1,4 +1,6 @@
 import io
+import os
+import random
 import zipfile
 
 import pytest
@@ -7,8 +9,9 @@ from conftest import rows_of
 from skyledger.operators import outcome_counts
 from skyledger.plans.ingest import dated_rows, run_ingest, stage_archives, stored_outcomes
 from skyledger.schema import ARCHIVE_FIELDS, flight_schema
-from skyledger.sinks import read_day_files
-from skyledger.sources import MissingSourceError, find_archives
+from skyledger.sinks import read_published_days
+from skyledger.sources import MissingSourceError, find_archives, list_members, read_unpacked, unpack_members
+from skyledger.sources.archives import RecordEnds, spread_members
 
 HEADER = ",".join(ARCHIVE_FIELDS) + "\n"
 GOOD = HEADER + "2011,3,7,1,617,610,748,735,QX,7101\n"
@@ -85,11 +88,11 @@ def test_outcomes_rows_days_and_manifest(spark, archives, tmp_path):
         ("store", f"{target}/2011/03/2011_03_07.csv", 2),
         ("store", f"{target}/2011/11/2011_11_30.csv", 1),
     ]
-    paths = {r["path"] for r in done.manifest.collect()}
-    assert paths == {
-        f"{target}/y=2011/m=03/d=2011_03_07", f"{target}/y=2011/m=11/d=2011_11_30",
-    }
-    written = read_day_files(spark, target, flight_schema(ARCHIVE_FIELDS))
+    for r in done.manifest.collect():
+        assert r["path"] == r["key"] and os.path.isdir(r["key"])
+        assert spark.read.csv(r["key"], header=True).count() == r["rows"]
+    assert not [name for name in os.listdir(target) if name.startswith("_")]
+    written = read_published_days(spark, target, flight_schema(ARCHIVE_FIELDS))
     assert rows_of(written) == [
         (2011, 3, 7, 1, 617, 610, 748, 735, "QX", 404),
         (2011, 3, 7, 1, 617, 610, 748, 735, "QX", 7101),
@@ -97,61 +100,128 @@ def test_outcomes_rows_days_and_manifest(spark, archives, tmp_path):
     ]
 
 
-def read_one(spark, folder, text, **options):
-    from skyledger.sources.archives import list_members, read_members
-
+def unpacked_from(spark, folder, *texts, **options):
     folder.mkdir()
-    (folder / "a.zip").write_bytes(zipped(a__csv=text))
-    rows = read_members(list_members(find_archives(spark, str(folder))), **options)
-    closing = rows.filter("outcome <> 'ROW'").first()
-    return rows.filter("outcome = 'ROW'"), closing
+    for i, text in enumerate(texts):
+        (folder / f"{i}.zip").write_bytes(zipped(a__csv=text))
+    return unpack_members(list_members(find_archives(spark, str(folder))), **options)
 
 
-def test_small_batches_give_the_same_rows(spark, tmp_path):
-    body = "".join(f"2008,1,{1 + i % 28},2,1,1,1,1,WN,{i}\n" for i in range(1000))
-    rows, closing = read_one(spark, tmp_path / "in", HEADER + body, batch_bytes=500)
-    assert sorted(int(r["FlightNum"]) for r in rows.collect()) == list(range(1000))
-    assert (closing["outcome"], closing["rows_read"]) == ("OK", 1000)
+def read_one(spark, folder, text, **options):
+    unpacked = unpacked_from(spark, folder, text, **options)
+    return read_unpacked(unpacked), unpacked.members.first()
+
+
+def test_a_large_member_is_cut_into_parts_that_several_tasks_read(spark, tmp_path):
+    body = "".join(f"2008,1,{1 + i % 28},2,1,1,1,1,WN,{i}\n" for i in range(60_000))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        rows, member = read_one(spark, tmp_path / "in", HEADER + body, part_bytes=100_000)
+        assert member["error"] is None and member["parts"] > 10
+        assert rows.rdd.getNumPartitions() >= 8
+        assert sorted(int(r["FlightNum"]) for r in rows.collect()) == list(range(60_000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_short_rows_late_in_a_member_are_padded_and_nothing_repeats(spark, tmp_path):
     lines = [f"2008,1,{1 + i % 28},2,1,1,1,1,WN,{i}" for i in range(1000)]
     lines[700] = "2008,1,1,2"
-    rows, closing = read_one(spark, tmp_path / "in", HEADER + "\n".join(lines) + "\n", batch_bytes=500)
+    rows, member = read_one(spark, tmp_path / "in", HEADER + "\n".join(lines) + "\n", part_bytes=500)
     numbers = [r["FlightNum"] for r in rows.collect()]
     assert numbers.count(None) == 1
     assert sorted(int(n) for n in numbers if n) == [i for i in range(1000) if i != 700]
-    assert (closing["outcome"], closing["rows_read"]) == ("OK", 1000)
+    assert member["error"] is None
+
+
+@pytest.mark.parametrize("part_bytes", [100, 1 << 20])
+def test_bad_bytes_and_short_rows_have_one_outcome_wherever_they_stand(spark, tmp_path, part_bytes):
+    """The same bad row, first and last of many, reads the same, whatever the parts."""
+    bad = b"2008,1,15,2,1,1,1,1,W\xff\xfeN,5\n2008,1,16\n"
+    good = b"".join(b"2008,1,1,2,1,1,1,1,WN,%d\n" % i for i in range(50))
+    for name, body in (("first", bad + good), ("last", good + bad)):
+        rows, member = read_one(spark, tmp_path / name, HEADER.encode() + body, part_bytes=part_bytes)
+        found = [r for r in rows.collect() if r["DayofMonth"] in ("15", "16")]
+        assert sorted((r["DayofMonth"], r["UniqueCarrier"], r["FlightNum"]) for r in found) == [
+            ("15", "W\ufffd\ufffdN", "5"), ("16", None, None)
+        ]
+        assert member["error"] is None and rows.count() == 52
 
 
 def test_fields_beyond_the_header_are_left_out(spark, tmp_path):
-    rows, closing = read_one(spark, tmp_path / "in", GOOD + GOOD.splitlines()[1] + ",too,many\n")
+    rows, member = read_one(spark, tmp_path / "in", GOOD + GOOD.splitlines()[1] + ",too,many\n")
     assert [r["FlightNum"] for r in rows.collect()] == ["7101", "7101"]
-    assert (closing["outcome"], closing["rows_read"]) == ("OK", 2)
+    assert member["error"] is None
+
+
+def test_members_of_several_headers_are_united_by_name(spark, tmp_path):
+    turned = ",".join([*reversed(ARCHIVE_FIELDS), "Year"]) + "\n" + "9,WN,8,7,6,5,4,3,2,2008,1999\n"
+    unpacked = unpacked_from(spark, tmp_path / "in", GOOD, turned, "\ufeff" + GOOD, GOOD.replace("\n", "\r\n"), GOOD.replace("\n", "\r"))
+    found = [tuple(r)[1:] for r in read_unpacked(unpacked).collect()]
+    one = ("2011", "3", "7", "1", "617", "610", "748", "735", "QX", "7101")
+    assert sorted(found) == [("2008", "2", "3", "4", "5", "6", "7", "8", "WN", "9"), one, one, one, one]
+
+
+def test_a_repeated_task_leaves_the_same_parts(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.zip").write_bytes(zipped(a__csv=GOOD + GOOD.splitlines()[1] + "\n"))
+    members = list_members(find_archives(spark, str(tmp_path / "in")))
+    for _ in range(2):
+        unpacked = unpack_members(members, part_bytes=20, folder=str(tmp_path / "parts"))
+    assert read_unpacked(unpacked).count() == 2
+
+
+def plain_record_ends(data):
+    """Line feeds outside quotes, sign by sign."""
+    ends, quoted, start, place = [], False, True, 0
+    while place < len(data):
+        sign = data[place : place + 1]
+        if quoted and data[place : place + 2] == b'""':
+            place += 1
+        elif sign == b'"' and (quoted or start):
+            quoted = not quoted
+        elif sign == b"\n" and not quoted:
+            ends.append(place + 1)
+        start = not quoted and sign in b",\r\n"
+        place += 1
+    return ends
+
+
+@pytest.mark.parametrize("pieces", [
+    ["a", ",", "\n", '"b,\n"', '""', '"x""y"', '"""\n"""'],
+    ["a", ",", "\n", '"', '""', "\r\n", "é"],
+])
+def test_record_ends_are_found_across_chunks(pieces):
+    rng = random.Random(2)
+    for _ in range(300):
+        data = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 60))).encode()
+        ends, at, found = RecordEnds(), 0, []
+        while at < len(data):
+            size = rng.randint(1, 12)
+            found += [at + int(e) for e in ends.of(data[at : at + size])]
+            at += size
+        assert found == plain_record_ends(data), data
 
 
 def test_quoted_line_breaks_and_an_empty_member(spark, tmp_path):
     quoted = GOOD.replace("QX", '"W\n""N"')
-    rows, _ = read_one(spark, tmp_path / "in", quoted)
-    assert [r["UniqueCarrier"] for r in rows.collect()] == ['W\n"N']
-    rows, closing = read_one(spark, tmp_path / "header", HEADER)
-    assert rows.count() == 0 and (closing["outcome"], closing["rows_read"]) == ("OK", 0)
-    _, closing = read_one(spark, tmp_path / "empty", "")
-    assert closing["outcome"] == "ERROR"
+    rows, _ = read_one(spark, tmp_path / "in", quoted + quoted.split("\n", 1)[1], part_bytes=1)
+    assert [r["UniqueCarrier"] for r in rows.collect()] == ['W\n"N'] * 2
+    rows, member = read_one(spark, tmp_path / "header", HEADER)
+    assert rows.count() == 0 and member["error"] is None
+    _, member = read_one(spark, tmp_path / "empty", "")
+    assert "MissingColumnsError" in member["error"]
 
 
-def test_members_of_one_archive_are_read_by_several_tasks(spark, tmp_path):
+def test_members_of_one_archive_are_unpacked_by_several_tasks(spark, tmp_path):
     from pyspark.sql import functions as F
 
-    from skyledger.sources.archives import list_members, read_members, spread_members
-
     (tmp_path / "in").mkdir()
     many = {f"m{i}__csv": GOOD.replace("7101", str(i)) for i in range(16)}
     (tmp_path / "in" / "big.zip").write_bytes(zipped(**many))
     members = spread_members(list_members(find_archives(spark, str(tmp_path / "in"))))
-    rows = read_members(members).filter("outcome = 'ROW'")
-    assert rows.count() == 16
-    assert rows.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    assert members.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    assert read_unpacked(unpack_members(members)).count() == 16
 
 
 def test_no_archives_at_all(spark, tmp_path):

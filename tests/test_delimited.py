@@ -72,6 +72,23 @@ def test_files_with_another_column_order_are_refused(spark, tmp_path):
         read_flight_csv(spark, str(tmp_path)).collect()
 
 
+def test_columns_are_found_by_name_in_each_file(spark, tmp_path):
+    """Two orders, a further and a repeated column, a byte order mark, an empty and a packed file."""
+    import gzip
+
+    write(tmp_path / "a.csv", "Year,Month\n2008,1\n2008,2\n")
+    write(tmp_path / "b.csv", "Note,Month,Year,Month\n\"x,y\",3,2009,99\n")
+    write(tmp_path / "c.csv", "\ufeffYear,Month\r\n2010,4\r\n")
+    write(tmp_path / "d.csv", "")
+    with gzip.open(tmp_path / "e.csv.gz", "wt") as packed:
+        packed.write("Month,Year\n5,2011\n")
+    df = read_flight_fields(spark, str(tmp_path), ("Year", "Month"))
+    assert sorted(tuple(r) for r in df.collect()) == [(2008, 1), (2008, 2), (2009, 3), (2010, 4), (2011, 5)]
+    write(tmp_path / "f.csv", "Year\n2012\n")
+    with pytest.raises(MissingColumnsError, match="Month"):
+        read_flight_fields(spark, str(tmp_path), ("Year", "Month"))
+
+
 def test_missing_path_names_the_input(spark, tmp_path):
     for read in (read_flight_csv, read_text_records, read_table):
         with pytest.raises(MissingSourceError, match="nowhere"):

@@ -76,7 +76,7 @@ def test_command_line_ingest(spark, tmp_path, capsys):
     assert rows_of(spark.read.parquet(str(tmp_path / "report" / "manifest")).select("rows")) == [(1,)]
     assert spark.read.parquet(str(tmp_path / "report" / "outcomes")).first()["status"] == "OK"
     assert "OK" in capsys.readouterr().out
-    assert os.path.isdir(tmp_path / "out" / "y=2011" / "m=03" / "d=2011_03_07")
+    assert os.path.isdir(tmp_path / "out" / "2011" / "03" / "2011_03_07.csv")
 
 
 def test_flagship(spark):
