@@ -43,12 +43,15 @@ def parser() -> argparse.ArgumentParser:
     publish.add_argument("--format", default="kafka")
     publish.add_argument("--path")
     publish.add_argument("--files-per-batch", type=int)
+    publish.add_argument("--records-per-batch", type=int)
     publish.add_argument("--every", help="shortest time between batches, as '500 milliseconds'")
     live = jobs.add_parser("live", help="running mean delays from a topic, or from message files")
     live.add_argument("--messages", help="folder of message files instead of a topic")
     live.add_argument("--tables", help="keep the results as tables here instead of printing them")
     live.add_argument("--max-per-trigger", type=int, help="messages of a topic in one micro-batch at most")
     live.add_argument("--min-tasks", type=int, help="tasks that read a topic at least")
+    live.add_argument("--record-id", help="field by which a message sent again is known, as 'record_id'")
+    live.add_argument("--within", default="1 hour", help="how long such a message is remembered")
     live.add_argument("--available-now", action="store_true", help="stop when all input is read")
     for sub in (publish, live):
         sub.add_argument("--brokers", default=brokers)
@@ -82,7 +85,7 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.job == "publish":
         plans.run_publish(
             spark, args.source, args.brokers, args.topic, args.format, args.path,
-            args.files_per_batch, args.checkpoint, args.every,
+            args.files_per_batch, args.records_per_batch, args.checkpoint, args.every,
         )
     else:
         source = {}
@@ -97,7 +100,7 @@ def main(arguments: list[str] | None = None) -> None:
             }
         queries = plans.run_live(
             spark, tables=args.tables, checkpoint=args.checkpoint,
-            available_now=args.available_now, **source,
+            available_now=args.available_now, record_id=args.record_id, within=args.within, **source,
         )
         if args.available_now:
             wait_for_all(queries)

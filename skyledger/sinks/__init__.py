@@ -10,9 +10,11 @@ from skyledger.sinks.day_files import (
 from skyledger.sinks.live import (
     changed_groups_sink,
     console_sink,
+    console_tables_sink,
     latest_groups,
-    live_table_sink,
+    live_tables_sink,
     memory_sink,
+    read_live_table,
 )
 from skyledger.sinks.messages import publish_batch, publish_stream, to_messages
 from skyledger.sinks.run_log import append_run, read_runs, run_entries
@@ -22,15 +24,17 @@ __all__ = [
     "append_run",
     "changed_groups_sink",
     "console_sink",
+    "console_tables_sink",
     "day_manifest",
     "latest_groups",
-    "live_table_sink",
+    "live_tables_sink",
     "memory_sink",
     "preview",
     "publish_batch",
     "publish_day_files",
     "publish_stream",
     "read_day_files",
+    "read_live_table",
     "read_published_days",
     "read_runs",
     "run_entries",

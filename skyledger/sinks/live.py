@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
+
+from skyledger.sinks.commits import Commits
+from skyledger.sources.tables import MissingSourceError
+
+#: Columns of the running delays of several keys, and what a batch is stored by.
+KEY_NAME, KEY_VALUE = "key_name", "key_value"
 
 
 def console_sink(running: DataFrame, checkpoint: str, mode: str = "complete") -> DataStreamWriter:
@@ -27,23 +36,58 @@ def memory_sink(running: DataFrame, checkpoint: str, name: str, mode: str = "com
     )
 
 
-def live_table_sink(running: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Replace a Parquet table with the complete result of each micro-batch.
+def console_tables_sink(running: DataFrame, checkpoint: str, keys, rows: int = 1000) -> DataStreamWriter:
+    """Print the running table of each key after every micro-batch."""
 
-    The result goes from the state store to the table in tasks, not through the
-    driver, and a batch replayed after a failure writes the same table again.
-    """
-
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"-------- Batch: {batch_id} --------")
+        for key in keys:
+            _of_key(batch, key).show(rows, truncate=False)
 
     return (
-        running.writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(replace)
+        running.writeStream.queryName("console-tables").outputMode("complete")
+        .option("checkpointLocation", checkpoint).foreachBatch(show)
     )
 
 
+def _of_key(batch: DataFrame, key: str) -> DataFrame:
+    rows = batch.filter(F.col(KEY_NAME) == key).drop(KEY_NAME)
+    return rows.withColumnRenamed(KEY_VALUE, key)
+
+
+def live_tables_sink(running: DataFrame, path: str, checkpoint: str, keep: int = 2) -> DataStreamWriter:
+    """Keep the complete running tables of all keys, one version per micro-batch.
+
+    A batch writes a folder of its own, parted by key, and then commits it by one file.
+    :func:`read_live_table` takes the last committed one, so it always sees whole tables, of
+    one batch for all keys. A batch replayed after a failure that its commit survived
+    changes nothing. The last ``keep`` versions stay for readers that have begun.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        commits = Commits(spark, path)
+        mark = {"query": spark.sparkContext.getLocalProperty("sql.streaming.queryId"), "batch": batch_id}
+        last = commits.last()
+        if last and {name: last[name] for name in mark} == mark:
+            return
+        folder = f"v-{uuid.uuid4().hex}"
+        batch.write.partitionBy(KEY_NAME).parquet(f"{path}/{folder}")
+        commits.add(mark | {"folder": folder, "schema": batch.schema.jsonValue()})
+        commits.forget(keep)
+
+    return running.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(store)
+
+
+def read_live_table(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The running table of one key as of the last committed batch."""
+    last = Commits(spark, path).last()
+    if last is None:
+        raise MissingSourceError(f"no committed batch below {path}")
+    rows = spark.read.schema(StructType.fromJson(last["schema"]))
+    return _of_key(rows.parquet(f"{path}/{last['folder']}"), key)
+
+
 def changed_groups_sink(running: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Store, per micro-batch, only the groups it changed.
 

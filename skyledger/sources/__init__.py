@@ -8,6 +8,7 @@ from skyledger.sources.delimited import (
     read_text_records,
 )
 from skyledger.sources.messages import file_messages, kafka_messages, text_record_stream
+from skyledger.sources.paced_records import record_stream
 from skyledger.sources.tables import MissingSourceError, read_table
 
 __all__ = [
@@ -22,6 +23,7 @@ __all__ = [
     "read_table",
     "read_text_records",
     "read_unpacked",
+    "record_stream",
     "text_record_stream",
     "unpack_members",
 ]

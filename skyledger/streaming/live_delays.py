@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from skyledger.functions.text import to_number
 from skyledger.operators.repair import fill_missing
 from skyledger.schema import STREAM_FIELDS, text_schema
+from skyledger.sinks.live import KEY_NAME, KEY_VALUE
 
 # The groups whose running delay is kept. Complete mode holds every
 # group for as long as the query lives, so keys must have few values, as these do.
@@ -47,6 +48,55 @@ def running_delay(df: DataFrame, key: str, measure: str = "ArrDelay") -> DataFra
     )
 
 
+def running_delays(df: DataFrame, keys=LIVE_KEYS, measure: str = "ArrDelay") -> DataFrame:
+    """Mean delay and number of flights for the values of several keys, in one aggregation.
+
+    Each row is unfolded into a pair of key name and value per key, so the rows are read and
+    parsed once for all keys and one state store holds all groups. Each task reduces its
+    pairs to one row per key and value before they are shuffled.
+    """
+    pairs = F.array(*[
+        F.struct(F.lit(key).alias(KEY_NAME), F.col(key).cast("string").alias(KEY_VALUE)) for key in keys
+    ])
+    unfolded = df.select(F.col(measure), F.inline(pairs))
+    return unfolded.groupBy(KEY_NAME, KEY_VALUE).agg(
+        F.avg(measure).alias("AvgDelay"), F.count(KEY_VALUE).alias("NrFlights")
+    )
+
+
+def without_repeats(df: DataFrame, record_id: str, within: str) -> DataFrame:
+    """The rows without those whose ``record_id`` was seen before, in any micro-batch of the
+    last ``within``. Rows without an id all stay. The state holds the ids of that time."""
+    seen = df.withColumns({
+        "_seen": F.current_timestamp(), "_id": F.coalesce(F.col(record_id), F.expr("uuid()")),
+    })
+    return seen.withWatermark("_seen", within).dropDuplicatesWithinWatermark(["_id"]).drop("_seen", "_id")
+
+
+def start_live_tables(
+    messages: DataFrame,
+    sink: Callable[[DataFrame], DataStreamWriter],
+    keys=LIVE_KEYS,
+    available_now: bool = False,
+    measure: str = "ArrDelay",
+    record_id: str | None = None,
+    within: str = "1 hour",
+) -> StreamingQuery:
+    """Start one query that reads the messages once and keeps the delays of all keys.
+
+    With ``record_id``, a field of the messages, a message that arrives again ``within`` that
+    time does not count again, so a publisher may send a batch twice.
+    """
+    fields = (*keys, measure) if record_id is None else (*keys, measure, record_id)
+    parsed = parse_messages(messages, fields=fields, numeric=(measure,))
+    if record_id is not None:
+        parsed = without_repeats(parsed, record_id, within)
+    writer = sink(running_delays(parsed, keys, measure))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def start_live_delays(
     messages: DataFrame,
     sink: Callable[[DataFrame, str], DataStreamWriter],
@@ -54,7 +104,8 @@ def start_live_delays(
     available_now: bool = False,
     measure: str = "ArrDelay",
 ) -> list[StreamingQuery]:
-    """Start one query per key over the same source.
+    """Start one query per key over the same source, for keys that must be stopped and
+    restarted apart; :func:`start_live_tables` reads the source once for all.
 
     ``sink`` takes the running table and the key and returns the writer. Each
     query has its own offsets, state and checkpoint, so each can restart alone, and

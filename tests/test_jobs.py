@@ -7,6 +7,7 @@ from conftest import rows_of
 
 from skyledger.__main__ import main
 from skyledger.registry import oracle_queries, registered_queries
+from skyledger.sinks import read_live_table
 from skyledger.session import materialise, scratch_path, shared_folder
 
 SMALL = "/root/testdata/sf0.001"
@@ -61,7 +62,7 @@ def test_command_line_from_raw_file_to_report(spark, tmp_path, capsys):
     topic = str(tmp_path / "topic")
     main(["publish", "--source", raw, "--format", "text", "--path", topic])
     main(["live", "--messages", topic, "--tables", str(tmp_path / "live"), "--available-now"])
-    live = spark.read.parquet(str(tmp_path / "live" / "UniqueCarrier"))
+    live = read_live_table(spark, str(tmp_path / "live"), "UniqueCarrier")
     assert sum(r["NrFlights"] for r in live.collect()) == 400
     assert "roc_auc" in capsys.readouterr().out
 
