@@ -33,6 +33,7 @@ from skyledger.operators.totals import (
     mean_from_totals,
     of_grouping,
 )
+from skyledger.operators.tree_walk import score_by_walking
 
 __all__ = [
     "active_flights",
@@ -65,6 +66,7 @@ __all__ = [
     "roc_auc",
     "rows_of_good_archives",
     "save_model",
+    "score_by_walking",
     "score_flights",
     "split_counts",
     "top_carriers",

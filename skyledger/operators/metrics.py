@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.session import materialise
@@ -43,25 +42,38 @@ def classification_metrics(
 
 
 def roc_auc(
-    df: DataFrame, label: str = "IsDelayed", score: str = "probability", weight: str | None = None
+    df: DataFrame, label: str = "IsDelayed", score: str = "probability", weight: str | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """One row ``roc_auc``: exact area under the curve, null unless both classes occur.
 
-    Rows are first reduced to one per score and label. The evaluator then works on
-    distinct scores; ``numBins=0`` keeps it from merging them into bins.
+    The area is the share of (late, punctual) pairs whose late row has the higher score,
+    equal scores counting half. Rows are reduced to one per score, with the weight of either
+    class. Ordered slices of the scores, cut without regard to how often one occurs, are
+    summed up on their own and then moved up by the slices below, so no task sees more
+    scores than a slice holds. The slices are stored first, as their borders come from
+    sampling. Rows without label or score are left out.
     """
-    amount = F.sum(weight) if weight else F.count("*")
-    # Stored, because the evaluator runs several jobs over it and must not score again.
-    reduced = materialise(
-        df.groupBy(
-            F.col(label).cast("double").alias("label"), F.col(score).cast("double").alias("score")
-        ).agg(amount.cast("double").alias("weight")),
-        "scores",
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    amount = (F.col(weight) if weight else F.lit(1)).cast("double")
+    late = F.col(label).cast("double") == 1.0
+
+    def total(condition, name):
+        return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0.0)).alias(name)
+
+    by_score = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(
+        F.col(score).cast("double").alias("score")
+    ).agg(total(late, "late"), total(~late, "punctual"))
+    sliced = materialise(
+        by_score.repartitionByRange(slices, "score").withColumn("slice", F.spark_partition_id()), "scores"
+    )
+    sizes = sliced.groupBy("slice").agg(F.sum("punctual").alias("size"))
+    below = F.sum("size").over(Window.orderBy("slice")) - F.col("size")
+    starts = sizes.select("slice", below.alias("start"))
+    before = F.sum("punctual").over(Window.partitionBy("slice").orderBy("score")) - F.col("punctual")
+    pairs = sliced.withColumn("before", before).join(starts, "slice").select(
+        "late", "punctual", (F.col("late") * (F.col("start") + F.col("before") + F.col("punctual") / 2)).alias("won")
     )
-    classes = reduced.agg(F.count_distinct("label")).first()[0]
-    area = None
-    if classes == 2:
-        area = BinaryClassificationEvaluator(
-            rawPredictionCol="score", labelCol="label", weightCol="weight", numBins=0
-        ).evaluate(reduced)
-    return df.sparkSession.createDataFrame([(area,)], "roc_auc double")
+    sums = pairs.agg(*[F.sum(c).alias(c) for c in ("late", "punctual", "won")])
+    both = (F.col("late") > 0) & (F.col("punctual") > 0)
+    return sums.select(F.when(both, F.col("won") / (F.col("late") * F.col("punctual"))).alias("roc_auc"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.operators.outcomes import archive_outcomes, rows_by_day, rows_of_good_archives, with_row_counts
 from skyledger.operators.repair import drop_incomplete
@@ -25,10 +26,12 @@ from skyledger.sources.delimited import type_fields
 
 @dataclass
 class Ingest:
-    """What an ingest run did: a row per archive and a row per day."""
+    """What an ingest run did: a row per archive, a row per day, and the number of rows read,
+    kept and dropped as the write itself counted them."""
 
     outcomes: DataFrame
     manifest: DataFrame
+    totals: dict[str, int]
 
 
 def stage_archives(
@@ -53,9 +56,16 @@ def typed_rows(unpacked: Unpacked, outcomes: DataFrame) -> DataFrame:
     return type_fields(rows_of_good_archives(unpacked, outcomes), unpacked.fields)
 
 
-def dated_rows(unpacked: Unpacked, outcomes: DataFrame, date_key=DATE_KEY) -> DataFrame:
-    """Typed rows of good archives whose date is known."""
-    return drop_incomplete(typed_rows(unpacked, outcomes), date_key)
+def dated_rows(
+    unpacked: Unpacked, outcomes: DataFrame, date_key=DATE_KEY, seen: tuple[Observation, Observation] | None = None
+) -> DataFrame:
+    """Typed rows of good archives whose date is known. Whatever runs over them also counts
+    the rows before and after that condition, where two observations are given."""
+    rows = typed_rows(unpacked, outcomes)
+    if seen is None:
+        return drop_incomplete(rows, date_key)
+    rows = rows.observe(seen[0], F.count(F.lit(1)).alias("rows"))
+    return drop_incomplete(rows, date_key).observe(seen[1], F.count(F.lit(1)).alias("rows"))
 
 
 def counted_outcomes(unpacked: Unpacked, outcomes: DataFrame) -> DataFrame:
@@ -79,5 +89,8 @@ def run_ingest(
     """
     unpacked = stage_archives(spark, source, fields, opener, **options)
     outcomes = stored_outcomes(unpacked)
-    manifest = publish_day_files(dated_rows(unpacked, outcomes).select(*fields), target, bucket)
-    return Ingest(outcomes=counted_outcomes(unpacked, outcomes), manifest=manifest)
+    seen = Observation("rows-read"), Observation("rows-kept")
+    manifest = publish_day_files(dated_rows(unpacked, outcomes, seen=seen).select(*fields), target, bucket)
+    read, kept = (found.get["rows"] for found in seen)
+    totals = {"rows_read": read, "rows_kept": kept, "rows_dropped": read - kept}
+    return Ingest(outcomes=counted_outcomes(unpacked, outcomes), manifest=manifest, totals=totals)

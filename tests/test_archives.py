@@ -84,6 +84,7 @@ def test_outcomes_rows_days_and_manifest(spark, archives, tmp_path):
     assert errors["half.zip"] and errors["two.zip"] is None
     assert rows_of(outcome_counts(done.outcomes)) == [("ERROR", 4, 0, 0), ("OK", 2, 4, 3)]
 
+    assert done.totals == {"rows_read": 4, "rows_kept": 3, "rows_dropped": 1}
     assert rows_of(done.manifest.select("bucketname", "key", "rows")) == [
         ("store", f"{target}/2011/03/2011_03_07.csv", 2),
         ("store", f"{target}/2011/11/2011_11_30.csv", 1),

@@ -182,3 +182,24 @@ def test_missing_prediction_counts_as_not_flagged(spark):
     df = spark.createDataFrame([(1, None), (0, None), (1, 1)], "IsDelayed int, prediction int")
     m = op.classification_metrics(df).first()
     assert (m.tp, m.fp, m.fn, m.tn) == (1.0, 0.0, 1.0, 1.0)
+
+
+@pytest.mark.parametrize("slices", [1, 3, 40])
+def test_area_does_not_hang_on_the_slices(spark, slices):
+    """A score that a third of the rows share, ties, and rows without a score."""
+    rows = [(i % 3 % 2, 0.5 if i % 3 == 0 else (i * 37 % 11) / 11) for i in range(200)]
+    df = spark.createDataFrame(rows + [(1, None), (None, 0.5)], "IsDelayed int, probability double")
+    assert math.isclose(op.roc_auc(df, slices=slices).first()[0], brute_auc(rows), rel_tol=1e-12)
+    assert op.roc_auc(df.filter("IsDelayed = 1"), slices=slices).first()[0] is None
+    assert op.roc_auc(df.limit(0), slices=slices).first()[0] is None
+
+
+def test_stored_nodes_give_the_same_scores(spark, tmp_path):
+    table = training_table(planted(spark, 2000))
+    trained = train_and_evaluate(table, trees=6, max_depth=5)
+    path = op.save_model(trained.model, str(tmp_path / "model"))
+    # An unseen carrier, too, gets the same code in both ways.
+    test = table.filter("NOT in_train").withColumn("UniqueCarrier", F.when(F.col("Month") == 3, "ZZ").otherwise(F.col("UniqueCarrier")))
+    both = op.score_flights(op.load_model(path), op.score_by_walking(spark, path, test)).collect()
+    assert len({r.probability for r in both}) > 5
+    assert all(math.isclose(r.probability, r.walked, abs_tol=1e-12) for r in both)
