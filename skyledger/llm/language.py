@@ -184,7 +184,7 @@ def train_language_model(
     usable = labelled.filter("lang is not null and doc_id is not null").filter(
         crc_remainder(F.col("doc_id"), 4) != 2
     )
-    chosen = sample_ids(usable.dropDuplicates(["doc_id"]), "lang", per_language, sample_texts)
+    chosen = sample_ids(usable.groupBy("doc_id").agg(F.min("lang").alias("lang")), "lang", per_language, sample_texts)
     rows = sorted((r.doc_id, r.lang, r.text) for r in sampled_texts(docs, chosen, characters).collect())
     rows = [r for r in rows if any(c.isalpha() for c in r[2])]
     return fit_model([r[2] for r in rows], [r[1] for r in rows]) if rows else None

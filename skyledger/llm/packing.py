@@ -168,15 +168,15 @@ def _place_group(limits: Limits):
 def pack(pieces: DataFrame, limits: Limits = LIMITS, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """Add ``sequence_id, offset, segment, width`` to pieces (columns of ``PIECES``).
 
-    Full pieces are sequences already. The others are dealt by a hash into groups of
-    about ``group_pieces``, and each group is packed by itself; sequences are then
-    numbered without gaps from the number of sequences per group. A piece larger than
-    a limit is an error; :func:`cut_pieces` makes none.
+    Pieces are stored and dealt by a hash of their place in that table, so equal ones do not
+    meet, into groups of about ``group_pieces``. Each group is packed by itself, full pieces
+    like the others; sequences are then numbered without gaps from the number of sequences
+    per group. A piece larger than a limit is an error; :func:`cut_pieces` makes none.
     """
     pieces = materialise(pieces, "pieces")
     count = pieces.count()
     groups = count // group_pieces + 1
-    dealt = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "row_key", "start"), F.lit(groups)))
+    dealt = pieces.withColumn("grp", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     placed = materialise(dealt.groupBy("grp").applyInArrow(_place_group(limits), PLACED), "placed")
     # One row per group of thousands of pieces; numbering them needs their order only.
     sizes = placed.groupBy("grp").agg((F.max("bin") + 1).alias("bins"))

@@ -45,9 +45,12 @@ def excerpt(text, characters: int):
 
 
 def sampled_texts(docs: DataFrame, chosen: DataFrame, characters: int) -> DataFrame:
-    """The chosen rows with an excerpt of their text. ``chosen`` is a bounded sample,
-    as :func:`sample_ids` gives it, and so is broadcast."""
+    """The chosen ids with an excerpt of their text, one row each. ``chosen`` is a bounded sample,
+    as :func:`sample_ids` gives it, and so is broadcast. Where several rows share an id the
+    text of the smallest hash is taken; each task sends one row per id."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.filter("text is not null").join(F.broadcast(chosen), "doc_id").withColumn(
-        "text", excerpt(F.col("text"), characters)
-    )
+    there = texts.filter("text is not null").join(F.broadcast(chosen), "doc_id")
+    labels = [c for c in chosen.columns if c != "doc_id"]
+    cut = there.select("doc_id", *labels, F.xxhash64("text").alias("_hash"), excerpt(F.col("text"), characters).alias("text"))
+    first = F.min(F.struct("_hash", "text")).alias("_first")
+    return cut.groupBy("doc_id", *labels).agg(first).select("doc_id", "_first.text", *labels)

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from heapq import heapify, heappop, heappush
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.session import scratch_path
+from skyledger.llm.rows import spare_names
+from skyledger.session import materialise, scratch_path
 
 #: Slots never change in number, so a record's slot is fixed for good.
 SLOTS = 8192
 
+#: A slot larger than so many times the mean one is split into cells of about that mean.
+SPLIT_ABOVE, MOST_CELLS = 4, 8192
+
 MAP_SCHEMA = "version int, virtual_slot int, shard int, rows bigint, bytes bigint"
 
 
@@ -31,6 +36,50 @@ def with_slots(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     )
 
 
+def salted(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """The stored rows of :func:`with_slots` with a number that tells equal rows apart.
+
+    They are stored, without texts, since the number must not change between the pass that
+    measures slots and the one that places rows.
+    """
+    return materialise(with_slots(docs, slots).withColumn("salt", F.xxhash64(F.monotonically_increasing_id())), "slotted")
+
+
+def cells_of(sizes: dict[int, tuple[int, int]], slots: int = SLOTS) -> dict[int, int]:
+    """Into how many cells a slot far above the mean is split, as when one doc_id holds
+    much of the rows, or rows without one share a text."""
+    mean = max(sum(size for _, size in sizes.values()) / slots, 1)
+    return {
+        slot: min(int(size / mean) + 1, MOST_CELLS, rows)
+        for slot, (rows, size) in sizes.items() if size > SPLIT_ABOVE * mean and rows > 1
+    }
+
+
+def cell_sizes(split: DataFrame, cells: dict[int, int], slots: int = SLOTS) -> dict[int, tuple[int, int]]:
+    """:func:`slot_sizes` with every cell of the split slots, also those no row was dealt to,
+    so that a map tells how many cells there are and has a shard for each."""
+    empty = {slot + slots * cell: (0, 0) for slot, count in cells.items() for cell in range(count)}
+    return empty | slot_sizes(split)
+
+
+def cells_in_map(mapping: dict[int, int], slots: int = SLOTS) -> dict[int, int]:
+    """The cells of split slots that a map knows."""
+    counts = Counter(slot % slots for slot in mapping)
+    return {slot: count for slot, count in counts.items() if count > 1}
+
+
+def split_slots(slotted: DataFrame, cells: dict[int, int], slots: int = SLOTS) -> DataFrame:
+    """Give the rows of split slots the virtual slot ``slot + slots * cell``; cell 0 keeps the
+    slot's number. The list of split slots has at most one row per slot."""
+    if not cells:
+        return slotted
+    spark = slotted.sparkSession
+    split = F.broadcast(spark.createDataFrame(sorted(cells.items()), "virtual_slot int, cells int"))
+    cell = F.coalesce(F.pmod("salt", "cells"), F.lit(0)).cast("int")
+    joined = slotted.join(split, "virtual_slot", "left")
+    return joined.withColumn("virtual_slot", F.col("virtual_slot") + slots * cell).drop("cells")
+
+
 def slot_sizes(slotted: DataFrame) -> dict[int, tuple[int, int]]:
     """Rows and bytes of each slot in use; one row per slot reaches the driver."""
     sums = slotted.groupBy("virtual_slot").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes"))
@@ -95,12 +144,24 @@ def read_map(spark: SparkSession, path: str, version: int | None = None) -> Data
 
 def rebalance(docs: DataFrame, path: str, shards: int, slots: int = SLOTS) -> str:
     """Measure the slots of ``docs`` anew and store an edited map as the next version."""
-    spark = docs.sparkSession
+    _rebalanced(salted(docs, slots), path, shards, slots)
+    return path
+
+
+def _rebalanced(slotted: DataFrame, path: str, shards: int, slots: int) -> DataFrame:
+    """The rows under the slots of the map's next version, which is stored. A slot once split
+    stays so, into as many cells or more."""
+    spark = slotted.sparkSession
     current = read_map(spark, path).collect()
-    sizes = slot_sizes(with_slots(docs, slots))
+    known = {r.virtual_slot: r.shard for r in current}
+    cells = cells_of(slot_sizes(slotted), slots)
+    for slot, count in cells_in_map(known, slots).items():
+        cells[slot] = max(count, cells.get(slot, 0))
+    split = split_slots(slotted, cells, slots)
+    sizes = cell_sizes(split, cells, slots)
     version = max((r.version for r in current), default=0) + 1
-    placed = edited_map({r.virtual_slot: r.shard for r in current}, sizes, shards)
-    return store_map(spark, path, version, placed, sizes)
+    store_map(spark, path, version, edited_map(known, sizes, shards), sizes)
+    return split
 
 
 def apply_map(slotted: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -132,18 +193,23 @@ def assign_shards(
     an edit of the latest one where there is one.
 
     A null text has size 1 and the checksum of the empty text; rows without doc_id are
-    placed by their text; equal rows share a virtual slot and are numbered in any order;
-    other columns are not read; an empty table gives an empty table.
+    placed by their text; equal rows share a virtual slot and are numbered in any order.
+    A slot far larger than the mean, as one doc_id or one text of a third of the rows gives,
+    is split into cells, virtual slots beyond ``slots``, which rows are dealt to by a number;
+    so shards stay near-equal unless single texts are larger than that. A very long text is
+    one row of its size. Other columns are not read; an empty table gives an empty table.
     """
     spark = docs.sparkSession
-    slotted = with_slots(docs, slots)
+    slotted = salted(docs, slots)
     if map_path is None:
         map_path = scratch_path(spark, "slot-map")
-        sizes = slot_sizes(slotted)
+        cells = cells_of(slot_sizes(slotted), slots)
+        slotted = split_slots(slotted, cells, slots)
+        sizes = cell_sizes(slotted, cells, slots)
         store_map(spark, map_path, 1, first_map(sizes, shards), sizes)
     else:
-        rebalance(docs, map_path, shards, slots)
-    return apply_map(slotted, read_map(spark, map_path))
+        slotted = _rebalanced(slotted, map_path, shards, slots)
+    return apply_map(slotted.drop("salt"), read_map(spark, map_path))
 
 
 def write_shards(docs: DataFrame, mapping: DataFrame, path: str, slots: int = SLOTS) -> str:
@@ -151,9 +217,15 @@ def write_shards(docs: DataFrame, mapping: DataFrame, path: str, slots: int = SL
 
     Rows are brought together by shard, and a large shard is cut into several files.
     """
+    (salt, slot, cells, shard) = spare_names(docs, "_salt", "_slot", "_cells", "_shard")
     doc_id, text = F.col("doc_id").cast("bigint"), F.col("text").cast("string")
     hashed = F.when(doc_id.isNotNull(), F.xxhash64(doc_id)).otherwise(F.xxhash64(text))
-    lookup = mapping.select(F.col("virtual_slot").alias("_slot"), F.col("shard").alias("_shard"))
-    placed = docs.withColumn("_slot", F.pmod(hashed, F.lit(slots)).cast("int")).join(F.broadcast(lookup), "_slot")
-    placed.drop("_slot").hint("rebalance", F.col("_shard")).write.partitionBy("_shard").parquet(path)
+    base = mapping.groupBy((F.col("virtual_slot") % slots).alias(slot)).agg(F.count("*").cast("int").alias(cells))
+    lookup = mapping.select(F.col("virtual_slot").alias(slot), F.col("shard").alias(shard))
+    numbered = docs.withColumns({
+        slot: F.pmod(hashed, F.lit(slots)).cast("int"), salt: F.xxhash64(F.monotonically_increasing_id()),
+    }).join(F.broadcast(base), slot)
+    cell = F.pmod(F.col(salt), F.col(cells)).cast("int")
+    placed = numbered.withColumn(slot, F.col(slot) + slots * cell).join(F.broadcast(lookup), slot)
+    placed.drop(slot, salt, cells).hint("rebalance", F.col(shard)).write.partitionBy(shard).parquet(path)
     return path

@@ -44,7 +44,7 @@ def _grown(raw: bytes) -> np.ndarray:
 
 def window_hashes(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all windows that lie in one text, and how many each text has."""
-    rolled = rolling_hashes(words.hashes(), width)
+    rolled = rolling_hashes(words.sum_hashes(), width)
     per_text = np.maximum(words.counts - width + 1, 0)
     return rolled[ranges(words.first[:-1], per_text)], per_text
 
@@ -213,7 +213,8 @@ def remove_repeats(
     A word goes if some window of ``width`` words over it also starts in a document with
     a smaller doc_id; ``removed`` holds the maximal ranges of such words, ``kept_text`` the
     others joined by blanks. Windows are those of the input, and are compared by 64-bit
-    polynomial hashes of their words' hashes.
+    polynomial hashes of their words' hashes, which are sums of mixed terms, so two
+    different windows meet by chance only.
 
     Windows travel as packed arrays of eight bytes each, without their places: the last
     step finds these again, and only for documents that lose something. Groups of the

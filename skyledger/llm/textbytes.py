@@ -7,7 +7,6 @@ break after every text, so words never run from one text into the next.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +19,8 @@ send_code_with_tasks(__name__)
 #: Bytes of text worked on together; intermediate arrays take some ten to forty times as much.
 CHUNK_BYTES = 1 << 20
 HASH_BYTES = 1 << 17
+#: Places of a word whose terms are looked up instead of computed.
+TERM_PLACES = 64
 
 #: White space between words, and odd multipliers of the polynomial hashes.
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
@@ -69,6 +70,31 @@ class Words:
         self.first = np.append(np.searchsorted(self.starts, self.text_starts), len(self.starts))
         self.counts = np.diff(self.first)
 
+    def sum_hashes(self) -> np.ndarray:
+        """A 64-bit hash of each word, of the sum of a mixed term per place and byte.
+
+        Polynomials modulo 2**64 meet for certain pairs of long words whatever the base is;
+        terms that follow no rule leave chance meetings only.
+        """
+        terms, found, at = place_terms(), np.empty(len(self.starts), dtype=np.uint64), 0
+        while at < len(found):
+            low = self.starts[at]
+            stop = max(at + 1, int(np.searchsorted(self.ends, low + HASH_BYTES, side="right")))
+            data = self.data[low : self.ends[stop - 1]]
+            starts, ends = self.starts[at:stop] - low, self.ends[at:stop] - low
+            # Blanks between words get places of the word before; no sum contains them.
+            place = np.arange(len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
+            code = place * 256 + data
+            if len(place) and place.max() >= TERM_PLACES:
+                term = mixed(code.astype(np.uint64) * np.uint64(BYTE_BASE) + np.uint64(WORD_BASE))
+            else:
+                term = terms[code]
+            total = np.zeros(len(data) + 1, dtype=np.uint64)
+            np.cumsum(term, out=total[1:])
+            found[at:stop] = mixed(total[ends] - total[starts] + (ends - starts).astype(np.uint64))
+            at = stop
+        return found
+
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes, block by block of words."""
         found = np.empty(len(self.starts), dtype=np.uint64)
@@ -86,12 +112,28 @@ class Words:
         return found
 
 
-@lru_cache(maxsize=4)
+#: What a worker keeps between chunks. A plain dictionary, as a function that caches by
+#: itself would be sent by its module's name, which executors need not know.
+KEPT: dict = {}
+
+
+def place_terms() -> np.ndarray:
+    """A random-looking 64-bit number for each of the first places of a word and each byte."""
+    if "terms" not in KEPT:
+        KEPT["terms"] = mixed(np.arange(TERM_PLACES * 256, dtype=np.uint64) * np.uint64(BYTE_BASE) + np.uint64(WORD_BASE))
+    return KEPT["terms"]
+
+
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    if (base, size) in KEPT:
+        return KEPT[base, size]
     ups = np.full(size, base, dtype=np.uint64)
     downs = np.full(size, pow(base, -1, 1 << 64), dtype=np.uint64)
     ups[0] = downs[0] = 1
-    return np.cumprod(ups), np.cumprod(downs)
+    if len(KEPT) >= 8:
+        KEPT.clear()
+    KEPT[base, size] = np.cumprod(ups), np.cumprod(downs)
+    return KEPT[base, size]
 
 
 def powers(base: int, count: int) -> tuple[np.ndarray, np.ndarray]:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import re
-from functools import lru_cache
 
 import numpy as np
 
@@ -27,21 +26,29 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(maxsize=4)
+#: Encoders a worker keeps, by their file (see ``textbytes.KEPT``).
+ENCODERS: dict = {}
+
+
 def rank_encoder(path: str):
     """The encoder of a file of ranks."""
     import tiktoken
 
+    if path in ENCODERS:
+        return ENCODERS[path]
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ENCODERS[path] = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return ENCODERS[path]
 
 
-@lru_cache(maxsize=4)
 def json_encoder(path: str):
+    """The encoder that defines the ids."""
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+    if path not in ENCODERS:
+        ENCODERS[path] = Tokenizer.from_file(path)
+    return ENCODERS[path]
 
 
 def encode(text: str, json_path: str, rank_path: str) -> np.ndarray:

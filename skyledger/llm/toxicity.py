@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm import recurrent
+from skyledger.llm.recurrent import Adam, CHAR_BUCKETS, first_weights, gradients, input_gates, squash, window_logits, word_vectors
 from skyledger.llm.rows import own_columns, spare_names
 from skyledger.llm.samples import crc_remainder, sample_ids, sampled_texts
 from skyledger.llm.textbytes import Words, byte_table, chunks_of, ranges
@@ -30,7 +30,9 @@ SAMPLE_CHARACTERS = 3000
 ASIDE = {0: 2, 1: 5}
 #: Words with a vector of their own, and in how many sample texts a word or letter group
 #: must be found to count; rarer ones would be learnt by heart.
-VOCABULARY, LEAST_TEXTS = 4000, 6
+VOCABULARY, LEAST_TEXTS = 4000, 3
+#: Share of the clean texts set aside that may lie above the cut.
+FALSE_ALARMS = 0.02
 EPOCHS, WARM_UP = 8, 2
 #: Steps of each round at least, and texts of a step at most.
 STEPS, BATCH_TEXTS = 60, 96
@@ -68,7 +70,7 @@ def char_groups(words: Words) -> tuple[np.ndarray, np.ndarray]:
     place = ranges(words.starts, counts)
     data = np.concatenate(([0x20], words.data, [0x20] * 4)).astype(np.uint32)
     at = place + 1
-    shift = np.uint32(32 - recurrent.CHAR_BUCKETS.bit_length() + 1)
+    shift = np.uint32(32 - CHAR_BUCKETS.bit_length() + 1)
     left = np.repeat(counts, counts) - (place - np.repeat(words.starts, counts))
     code, buckets = data[at - 1] * np.uint32(263) + data[at], []
     for step in (1, 2, 3):
@@ -108,11 +110,11 @@ def score_windows(model: ToxicityModel, seen: Features) -> tuple[np.ndarray, np.
     starts, lengths, owner = windows_of(seen.word_counts)
     if not len(starts):
         return np.zeros(0), owner
-    gates = recurrent.input_gates(
-        model.weights, recurrent.word_vectors(model.weights, seen.rows, seen.groups, seen.group_counts)
+    gates = input_gates(
+        model.weights, word_vectors(model.weights, seen.rows, seen.groups, seen.group_counts)
     )
     logits = [
-        recurrent.window_logits(model.weights, gates, starts[a : a + 4096], lengths[a : a + 4096], WINDOW)
+        window_logits(model.weights, gates, starts[a : a + 4096], lengths[a : a + 4096], WINDOW)
         for a in range(0, len(starts), 4096)
     ]
     return np.concatenate(logits), owner
@@ -132,21 +134,22 @@ def score_texts(model: ToxicityModel, texts: list[bytes], threshold: float = THR
     """The score of a text is that of its worst window; 0 without any word. A logit at the
     model's cut scores ``threshold``."""
     at_cut = np.log(threshold / (1 - threshold))
-    return recurrent.squash(worst_logits(model, texts) - model.cut + at_cut)
+    return squash(worst_logits(model, texts) - model.cut + at_cut)
 
 
 def best_cut(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The cut that tells most texts of each label apart, in the middle of the widest gap
-    where several do equally well."""
+    """Of the cuts with at most ``FALSE_ALARMS`` of the clean texts above them, the one that tells
+    most texts of each label apart, in the middle of the widest gap where several do equally
+    well. Without the bound, few toxic texts that look clean would draw the cut far down."""
     order = np.argsort(logits, kind="stable")
     ordered, toxic = logits[order], labels[order] > 0
     missed = np.append(0, np.cumsum(toxic)) / max(toxic.sum(), 1)
     alarms = np.append(0, np.cumsum(~toxic)) / max((~toxic).sum(), 1)
     gain = alarms - missed
     low, high = np.append(-np.inf, ordered), np.append(ordered, np.inf)
-    usable = np.isfinite(low) & np.isfinite(high)
+    usable = np.isfinite(low) & np.isfinite(high) & (alarms >= 1 - FALSE_ALARMS)
     if not usable.any():
-        return 0.0
+        return float(ordered[-1]) if len(ordered) and np.isfinite(ordered[-1]) else 0.0
     best = np.flatnonzero(usable & (gain >= gain[usable].max() - 1e-12))
     widest = best[np.argmax(high[best] - low[best])]
     return float((low[widest] + high[widest]) / 2)
@@ -174,7 +177,7 @@ def _vocabulary(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.n
 
 def _common_groups(parts: list[Features]) -> np.ndarray:
     """Which buckets of letter groups are found in enough texts."""
-    texts = np.zeros(recurrent.CHAR_BUCKETS, dtype=np.int64)
+    texts = np.zeros(CHAR_BUCKETS, dtype=np.int64)
     for part in parts:
         owner = np.repeat(np.repeat(np.arange(len(part.word_counts)), part.word_counts), part.group_counts)
         for column in range(part.groups.shape[1]):
@@ -220,7 +223,7 @@ def _trained(texts: list[str], labels: list[int], seed: int) -> ToxicityModel:
         owner.append(np.repeat(np.arange(len(part)) + n * PART_TEXTS, words.counts))
     slot_hash, slot_row = _vocabulary(np.concatenate(hashes), np.concatenate(owner))
     del hashes, owner
-    model = ToxicityModel(recurrent.first_weights(int(slot_row.max()) + 1, rng), slot_hash, slot_row)
+    model = ToxicityModel(first_weights(int(slot_row.max()) + 1, rng), slot_hash, slot_row)
     parts = [features_of(model, part) for part in raw_parts]
     common = _common_groups(parts)
     model.weights["char"][~common] = 0
@@ -233,7 +236,7 @@ def _trained(texts: list[str], labels: list[int], seed: int) -> ToxicityModel:
     first = np.searchsorted(owner, np.arange(len(raw) + 1))
     y = np.array(labels, dtype=np.float32)
     weight = np.where(y > 0, len(y) / (2 * max((y > 0).sum(), 1)), len(y) / (2 * max((y == 0).sum(), 1)))
-    adam = recurrent.Adam()
+    adam = Adam()
     filled = np.flatnonzero(word_counts > 0)
     for epoch in range(EPOCHS if len(filled) else 0):
         adam.rate = 0.01 if epoch < EPOCHS - 3 else 0.003
@@ -256,7 +259,7 @@ def _trained(texts: list[str], labels: list[int], seed: int) -> ToxicityModel:
             used = np.unique(place)
             ids = np.where(rng.random(len(used)) < 0.3, 0, rows[used])
             mask = (np.arange(WINDOW)[:, None] < lengths[pick][None, :]).astype(np.float32)
-            _, slopes = recurrent.gradients(
+            _, slopes = gradients(
                 model.weights, ids, groups[ranges(group_starts[used], counts[used])], counts[used],
                 np.searchsorted(used, place), mask, y[owner[pick]], cost,
             )
@@ -276,12 +279,13 @@ def train_toxicity_model(
     """Fit on a sample of the labelled rows; None unless both labels occur.
 
     The sample holds at most ``per_label`` texts of a label and ``characters`` of each of
-    them; rows with crc32(doc_id) mod 3 = 1 are never in it.
+    them; rows with crc32(doc_id) mod 3 = 1 are never in it. A doc_id with both labels
+    counts as toxic; of several texts under one doc_id the one of the smallest hash is taken.
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     usable = known.filter("toxic in (0, 1) and doc_id is not null").filter(crc_remainder(F.col("doc_id"), 3) != 1)
     there = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
-    usable = usable.dropDuplicates(["doc_id"]).join(there, "doc_id", "left_semi")
+    usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).join(there, "doc_id", "left_semi")
     chosen = sample_ids(usable, "toxic", per_label)
     rows = sorted((r.doc_id, r.toxic, r.text) for r in sampled_texts(docs, chosen, characters).collect())
     if len({toxic for _, toxic, _ in rows}) < 2:
