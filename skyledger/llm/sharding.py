@@ -14,8 +14,9 @@ from skyledger.session import materialise, scratch_path
 #: Slots never change in number, so a record's slot is fixed for good.
 SLOTS = 8192
 
-#: A slot larger than so many times the mean one is split into cells of about that mean.
-SPLIT_ABOVE, MOST_CELLS = 4, 8192
+#: A slot of several rows larger than this share of a shard is split into cells of about
+#: the other share.
+SPLIT_ABOVE, CELL, MOST_CELLS = 1 / 2, 1 / 32, 8192
 
 MAP_SCHEMA = "version int, virtual_slot int, shard int, rows bigint, bytes bigint"
 
@@ -45,12 +46,12 @@ def salted(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     return materialise(with_slots(docs, slots).withColumn("salt", F.xxhash64(F.monotonically_increasing_id())), "slotted")
 
 
-def cells_of(sizes: dict[int, tuple[int, int]], slots: int = SLOTS) -> dict[int, int]:
-    """Into how many cells a slot far above the mean is split, as when one doc_id holds
-    much of the rows, or rows without one share a text."""
-    mean = max(sum(size for _, size in sizes.values()) / slots, 1)
+def cells_of(sizes: dict[int, tuple[int, int]], shards: int) -> dict[int, int]:
+    """Into how many cells a slot that is large beside a shard is split, as when one doc_id
+    holds much of the rows, or rows without one share a text."""
+    mean = max(sum(size for _, size in sizes.values()) / shards, 1)
     return {
-        slot: min(int(size / mean) + 1, MOST_CELLS, rows)
+        slot: min(int(size / (CELL * mean)) + 1, MOST_CELLS, rows)
         for slot, (rows, size) in sizes.items() if size > SPLIT_ABOVE * mean and rows > 1
     }
 
@@ -154,7 +155,7 @@ def _rebalanced(slotted: DataFrame, path: str, shards: int, slots: int) -> DataF
     spark = slotted.sparkSession
     current = read_map(spark, path).collect()
     known = {r.virtual_slot: r.shard for r in current}
-    cells = cells_of(slot_sizes(slotted), slots)
+    cells = cells_of(slot_sizes(slotted), shards)
     for slot, count in cells_in_map(known, slots).items():
         cells[slot] = max(count, cells.get(slot, 0))
     split = split_slots(slotted, cells, slots)
@@ -194,7 +195,7 @@ def assign_shards(
 
     A null text has size 1 and the checksum of the empty text; rows without doc_id are
     placed by their text; equal rows share a virtual slot and are numbered in any order.
-    A slot far larger than the mean, as one doc_id or one text of a third of the rows gives,
+    A slot larger than half a shard, as one doc_id or one text of a third of the rows gives,
     is split into cells, virtual slots beyond ``slots``, which rows are dealt to by a number;
     so shards stay near-equal unless single texts are larger than that. A very long text is
     one row of its size. Other columns are not read; an empty table gives an empty table.
@@ -203,7 +204,7 @@ def assign_shards(
     slotted = salted(docs, slots)
     if map_path is None:
         map_path = scratch_path(spark, "slot-map")
-        cells = cells_of(slot_sizes(slotted), slots)
+        cells = cells_of(slot_sizes(slotted), shards)
         slotted = split_slots(slotted, cells, slots)
         sizes = cell_sizes(slotted, cells, slots)
         store_map(spark, map_path, 1, first_map(sizes, shards), sizes)
