@@ -149,7 +149,8 @@ def best_cut(logits: np.ndarray, labels: np.ndarray) -> float:
     low, high = np.append(-np.inf, ordered), np.append(ordered, np.inf)
     usable = np.isfinite(low) & np.isfinite(high) & (alarms >= 1 - FALSE_ALARMS)
     if not usable.any():
-        return float(ordered[-1]) if len(ordered) and np.isfinite(ordered[-1]) else 0.0
+        # Beyond all of them, by more than what rounding does to a text's logit.
+        return float(ordered[-1]) + 1.0 if len(ordered) and np.isfinite(ordered[-1]) else 0.0
     best = np.flatnonzero(usable & (gain >= gain[usable].max() - 1e-12))
     widest = best[np.argmax(high[best] - low[best])]
     return float((low[widest] + high[widest]) / 2)
