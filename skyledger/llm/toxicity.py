@@ -12,7 +12,9 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.recurrent import Adam, CHAR_BUCKETS, first_weights, gradients, input_gates, squash, window_logits, word_vectors
+from skyledger.llm.recurrent import (
+    Adam, CHAR_BUCKETS, first_weights, gradients, input_gates, running_logits, squash, window_logits, word_vectors,
+)
 from skyledger.llm.rows import own_columns, spare_names
 from skyledger.llm.samples import crc_remainder, sample_ids, sampled_texts
 from skyledger.llm.textbytes import Words, byte_table, chunks_of, ranges
@@ -20,8 +22,8 @@ from skyledger.session import send_code_with_tasks
 
 send_code_with_tasks(__name__)
 
-#: Words of a window, and by how many words the next one is further on.
-WINDOW, STRIDE = 24, 16
+#: Words of a window; each word of a text begins one. Training looks at one in some words only.
+WINDOW, TRAINING_STRIDE = 10, 5
 #: Bounds of the training sample: texts of each label, and characters of each text. One
 #: toxic text in five and every other clean one are not trained on but used to place the
 #: cut between the labels.
@@ -65,28 +67,31 @@ def lowered(text: str | None) -> bytes:
 
 def char_groups(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the three- and five-byte groups around each letter of each word, a row
-    per letter, and the number of rows per word. Groups end where the word ends."""
+    per letter, and the number of rows per word. Groups begin and end with the word's blanks
+    at most, which are the same wherever it stands."""
     counts = words.ends - words.starts
     place = ranges(words.starts, counts)
     data = np.concatenate(([0x20], words.data, [0x20] * 4)).astype(np.uint32)
     at = place + 1
     shift = np.uint32(32 - CHAR_BUCKETS.bit_length() + 1)
     left = np.repeat(counts, counts) - (place - np.repeat(words.starts, counts))
-    code, buckets = data[at - 1] * np.uint32(263) + data[at], []
+    before = data[at - 1]
+    before[np.cumsum(counts) - counts] = 0x20
+    code, buckets = before * np.uint32(263) + data[at], []
     for step in (1, 2, 3):
-        code = code * np.uint32(263) + np.where(left > step - 1, data[at + step], 0).astype(np.uint32)
+        code = code * np.uint32(263) + np.where(left > step, data[at + step], (left == step) * 0x20).astype(np.uint32)
         if step != 2:
             buckets.append((code + np.uint32(step)) * np.uint32(2654435761) >> shift)
     return np.stack(buckets, axis=1).astype(np.uint16), counts
 
 
-def windows_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows_of(counts: np.ndarray, stride: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word, length and text of every window over texts of so many words, which
-    follow one another; the windows cover all words."""
+    follow one another; the windows cover all words. A text of fewer words has one window."""
     first = np.cumsum(counts) - counts
-    windows = np.where(counts > 0, np.maximum(0, -(-(counts - WINDOW) // STRIDE)) + 1, 0)
+    windows = np.where(counts > 0, np.maximum(0, -(-(counts - WINDOW) // stride)) + 1, 0)
     owner = np.repeat(np.arange(len(counts)), windows)
-    inside = ranges(np.zeros(len(counts), dtype=np.int64), windows) * STRIDE
+    inside = ranges(np.zeros(len(counts), dtype=np.int64), windows) * stride
     return first[owner] + inside, np.minimum(WINDOW, counts[owner] - inside), owner
 
 
@@ -105,25 +110,41 @@ def features_of(model: ToxicityModel, texts: list[bytes]) -> Features:
     return Features(model.word_rows(words.hashes()), *char_groups(words), words.counts)
 
 
-def score_windows(model: ToxicityModel, seen: Features) -> tuple[np.ndarray, np.ndarray]:
-    """Logit and text of every window."""
-    starts, lengths, owner = windows_of(seen.word_counts)
+def training_logits(model: ToxicityModel, seen: Features) -> np.ndarray:
+    """Logits of the windows that training looks at."""
+    starts, lengths, _ = windows_of(seen.word_counts, TRAINING_STRIDE)
     if not len(starts):
-        return np.zeros(0), owner
-    gates = input_gates(
-        model.weights, word_vectors(model.weights, seen.rows, seen.groups, seen.group_counts)
-    )
-    logits = [
+        return np.zeros(0)
+    gates = input_gates(model.weights, word_vectors(model.weights, seen.rows, seen.groups, seen.group_counts))
+    return np.concatenate([
         window_logits(model.weights, gates, starts[a : a + 4096], lengths[a : a + 4096], WINDOW)
         for a in range(0, len(starts), 4096)
-    ]
-    return np.concatenate(logits), owner
+    ])
+
+
+def score_windows(model: ToxicityModel, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Logit and text of every window; the inputs of a word found often are computed once."""
+    words = Words(texts, IS_BLANK)
+    starts, lengths, owner = windows_of(words.counts)
+    if not len(starts):
+        return np.zeros(0), owner
+    known, one, word = np.unique(words.hashes(), return_index=True, return_inverse=True)
+    words.starts, words.ends = words.starts[one], words.ends[one]
+    gates = input_gates(model.weights, word_vectors(model.weights, model.word_rows(known), *char_groups(words)))
+    # Windows that would run on into the next text begin at no place of ``starts``.
+    running, full = running_logits(model.weights, gates, word, WINDOW), lengths == WINDOW
+    logits = np.empty(len(starts), dtype=np.float32)
+    logits[full] = running[starts[full]]
+    if not full.all():
+        own = {s: gates[s][word] for s in gates}
+        logits[~full] = window_logits(model.weights, own, starts[~full], lengths[~full], WINDOW)
+    return logits, owner
 
 
 def worst_logits(model: ToxicityModel, texts: list[bytes]) -> np.ndarray:
     """The largest logit of each text's windows; minus infinity without any word."""
     worst = np.full(len(texts), -np.inf)
-    logits, owner = score_windows(model, features_of(model, texts))
+    logits, owner = score_windows(model, texts)
     if len(owner):
         first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
         worst[owner[first]] = np.maximum.reduceat(logits, first)
@@ -233,7 +254,7 @@ def _trained(texts: list[str], labels: list[int], seed: int) -> ToxicityModel:
     counts = np.concatenate([p.group_counts for p in parts])
     word_counts = np.concatenate([p.word_counts for p in parts])
     group_starts = np.cumsum(counts) - counts
-    starts, lengths, owner = windows_of(word_counts)
+    starts, lengths, owner = windows_of(word_counts, TRAINING_STRIDE)
     first = np.searchsorted(owner, np.arange(len(raw) + 1))
     y = np.array(labels, dtype=np.float32)
     weight = np.where(y > 0, len(y) / (2 * max((y > 0).sum(), 1)), len(y) / (2 * max((y == 0).sum(), 1)))
@@ -241,7 +262,7 @@ def _trained(texts: list[str], labels: list[int], seed: int) -> ToxicityModel:
     filled = np.flatnonzero(word_counts > 0)
     for epoch in range(EPOCHS if len(filled) else 0):
         adam.rate = 0.01 if epoch < EPOCHS - 3 else 0.003
-        worst = np.concatenate([score_windows(model, p)[0] for p in parts]) if epoch >= WARM_UP else None
+        worst = np.concatenate([training_logits(model, p) for p in parts]) if epoch >= WARM_UP else None
         steps = max(min(STEPS, len(filled)), len(filled) // BATCH_TEXTS)
         for texts_now in np.array_split(rng.permutation(filled), steps):
             chosen, cost = [], []

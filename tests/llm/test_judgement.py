@@ -156,6 +156,45 @@ def test_gradients_match_differences():
             assert slopes[name][spot] == pytest.approx((up - down) / 2e-4, rel=2e-2, abs=3e-5), name
 
 
+def plain_logit(weights, vectors):
+    """One window by the network's definition, word by word."""
+    h, sides = recurrent.HIDDEN, {}
+    soft = lambda x: x / (1 + abs(x))
+    for side, order in (("f", range(len(vectors))), ("b", range(len(vectors) - 1, -1, -1))):
+        state, sides[side] = np.zeros(h), {}
+        for t in order:
+            given, back = vectors[t] @ weights[f"in_{side}"] + weights[f"in_bias_{side}"], state @ weights[f"rec_{side}"]
+            update = 0.5 + 0.5 * soft(given[:h] + back[:h])
+            reset = 0.5 + 0.5 * soft(given[h : 2 * h] + back[h : 2 * h])
+            new = soft(given[2 * h :] + reset * (back[2 * h :] + weights[f"rec_bias_{side}"]))
+            state = update * state + (1 - update) * new
+            sides[side][t] = state
+    states = [np.concatenate([sides["f"][t], sides["b"][t]]) for t in range(len(vectors))]
+    share = np.exp([soft(s @ weights["att"] + weights["att_bias"]) @ weights["att_out"] for s in states])
+    return (share / share.sum()) @ np.array(states) @ weights["out"] + weights["out_bias"][0]
+
+
+def test_every_window_is_scored_as_one_by_one():
+    """Against a plain loop over all windows of texts of 0 to some 3,000 words."""
+    rng = np.random.default_rng(2)
+    pool = [bytes(rng.choice(list(b"abcdefgh"), rng.integers(1, 9))) for _ in range(60)]
+    texts = [b" ".join(rng.choice(pool, n)) for n in (0, 1, 9, 10, 11, 40, 0, 3000, 5)]
+    model = toxicity.fit_model([t.decode() for t in texts] * 3, [0, 1, 0, 1, 1, 0, 0, 1, 0] * 3)
+    weights = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    for name in ("rec_bias_f", "rec_bias_b", "att_bias"):
+        weights[name] = model.weights[name] = rng.normal(0, 0.5, weights[name].shape)
+    logits, owner = toxicity.score_windows(model, texts)
+    seen, width = [], toxicity.WINDOW
+    for n, text in enumerate(texts):
+        words = Words([text], toxicity.IS_BLANK)
+        vectors = recurrent.word_vectors(weights, model.word_rows(words.hashes()), *toxicity.char_groups(words))
+        places = range(max(len(vectors) - width, 0) + 1) if len(vectors) else []
+        plain = [plain_logit(weights, vectors[a : a + width]) for a in places]
+        assert logits[owner == n] == pytest.approx(plain, abs=2e-4)
+        seen.append(max(plain, default=-np.inf))
+    assert toxicity.worst_logits(model, texts) == pytest.approx(seen, abs=2e-4)
+
+
 def test_windows_cover_all_words():
     counts = np.array([0, 1, 24, 25, 100])
     starts, lengths, owner = toxicity.windows_of(counts)
