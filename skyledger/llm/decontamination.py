@@ -19,8 +19,10 @@ send_code_with_tasks(__name__)
 
 #: Consecutive words of an item that make a window.
 WINDOW_WORDS = 10
-#: Bytes of item text in one automaton. More items are scanned for by several automata.
-PART_BYTES = 32 << 20
+#: Bytes of item text in one automaton, which takes some 400 times as many bytes in a worker.
+#: More items are scanned for by several automata; items are cut to pieces of a share of it.
+PART_BYTES = 1 << 20
+PIECES = 16
 
 # Bytes that may be part of a word, and the lower case of A-Z. All other
 # bytes below 0x80 become blanks; one byte stays one byte, so places stay the same.
@@ -96,27 +98,67 @@ RESULT = (
 )
 
 
-def item_parts(benchmark: DataFrame, part_bytes: int = PART_BYTES) -> list[DataFrame]:
-    """The items dealt into parts of about ``part_bytes`` of text, by a hash of their id."""
+def pieces_of(text: bytes, size: int, width: int = WINDOW_WORDS) -> list[bytes]:
+    """Stretches of an item that hold all its windows, each window in one of them. A stretch
+    ends with the first window that begins ``size`` bytes or more behind the stretch's start."""
+    words = words_of(text)
+    last = len(words) - width
+    if last <= 0:
+        return [b" ".join(words)] if words else []
+    pieces, first, long = [], 0, 0
+    for i in range(last + 1):
+        long += len(words[i]) + 1
+        if long >= size or i == last:
+            pieces.append(b" ".join(words[first : i + width]))
+            first, long = i + 1, 0
+    return pieces
+
+
+def item_parts(benchmark: DataFrame, part_bytes: int = PART_BYTES, width: int = WINDOW_WORDS) -> list[DataFrame]:
+    """The items dealt into parts of about ``part_bytes`` of text. Beyond one part they are cut
+    to pieces first, so that long items do not make a part much larger than the others."""
     items = benchmark.select(
         F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")
     ).filter("item is not null and text is not null")
-    total = items.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
-    count = -(-total // part_bytes) or 1
-    if count == 1:
+    long = F.sum(F.octet_length("text") + F.octet_length("item"))
+    if (items.agg(long).first()[0] or 0) <= part_bytes:
         return [items]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks_of(batch, "text"):
+                cut = [pieces_of(t, max(1, part_bytes // PIECES), width) for t in utf8_texts(chunk.column("text"))]
+                owner = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
+                texts = pa.array([piece.decode() for c in cut for piece in c], pa.string())
+                yield pa.RecordBatch.from_arrays([chunk.column("item").take(pa.array(owner)), texts], ["item", "text"])
+
+    pieces = materialise(items.mapInArrow(work, "item string, text string"), "benchmark-pieces")
+    count = -(-(pieces.agg(long).first()[0] or 0) // part_bytes) or 1
     part = F.pmod(F.xxhash64("item", "text"), F.lit(count))
-    return [items.filter(part == n) for n in range(count)]
+    return [pieces.filter(part == n) for n in range(count)]
+
+
+def _sent(part: DataFrame, width: int):
+    """A function that gives tasks the part's automaton, which a worker builds once and keeps
+    with the broadcast items for its later tasks."""
+    shared = part.sparkSession.sparkContext.broadcast({"items": [(r.item, r.text.encode()) for r in part.collect()]})
+
+    def automaton() -> ahocorasick.Automaton:
+        kept = shared.value
+        if "automaton" not in kept:
+            kept["automaton"] = build_automaton(kept["items"], width)
+        return kept["automaton"]
+
+    return automaton
 
 
 def _scan(docs: DataFrame, part: DataFrame, width: int) -> DataFrame:
     """The columns of ``docs`` (one is ``text``) and a column ``found``: what one automaton finds."""
-    items = [(r.item, r.text.encode()) for r in part.collect()]
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    sent = _sent(part, width)
     kind = pa.list_(pa.struct([("first", pa.int64()), ("behind", pa.int64())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = build_automaton(shared.value, width)
+        automaton = sent()
         for batch in batches:
             for chunk in chunks_of(batch, "text"):
                 texts = utf8_texts(chunk.column("text"))
@@ -177,10 +219,11 @@ def find_contamination(
 
     A null or empty text has no words and no hits; an item without words has no window; a
     null item_id or text leaves the item out; an item given twice counts once; equal
-    documents give equal rows; no items, no hits; other columns are not read.
+    documents give equal rows; no items, no hits; other columns are not read; an empty table
+    gives an empty table; a text of any length is scanned whole, one at a time.
     """
     docs = _with_ids(docs)
-    parts = item_parts(benchmark, part_bytes)
+    parts = item_parts(benchmark, part_bytes, width)
     if len(parts) == 1:
         found = _scan(docs, parts[0], width)
     else:
@@ -217,17 +260,16 @@ def drop_contaminated(
     The rows pass each part's automaton in turn and are never shuffled. Nulls, empty
     texts and empty tables are as in :func:`find_contamination`.
     """
-    for part in item_parts(benchmark, part_bytes):
-        items = [(r.item, r.text.encode()) for r in part.collect()]
-        docs = _drop_hits(docs, docs.sparkSession.sparkContext.broadcast(items), width)
+    for part in item_parts(benchmark, part_bytes, width):
+        docs = _drop_hits(docs, _sent(part, width))
     return docs
 
 
-def _drop_hits(docs: DataFrame, shared, width: int) -> DataFrame:
+def _drop_hits(docs: DataFrame, sent) -> DataFrame:
     (plain,) = spare_names(docs, "plain_text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = build_automaton(shared.value, width)
+        automaton = sent()
         for batch in batches:
             for chunk in chunks_of(batch, plain):
                 clean = [not scan_text(automaton, t)[2] for t in utf8_texts(chunk.column(plain))]

@@ -430,7 +430,7 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
         return f"{canonical[:2]}{98 - value % 97:02d}{body}"
     if kind == "secret":
         if HEX.match(canonical):
-            return "".join("0123456789abcdef"[draw.below(16)] for _ in canonical)
+            return "".join(draw.digits(1) if c.isdigit() else "abcdef"[draw.below(6)] for c in canonical)
         return "".join(map(draw.like, canonical))
     return _name(draw, kind, attempt)
 
@@ -443,6 +443,8 @@ def rendered(kind: str, mention: str, value: str) -> str:
     if kind == "iban":
         signs = iter(value)
         return "".join(c if c == " " else next(signs) for c in mention)
+    if kind == "secret" and HEX.match(mention):
+        return "".join(v.upper() if c.isupper() else v for c, v in zip(mention, value))
     if kind in ("email", "secret") and mention.isupper():
         return value.upper()
     if kind == "family:cyrillic" and mention.endswith("а"):

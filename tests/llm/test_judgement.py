@@ -287,6 +287,16 @@ def test_other_numbers_and_words_stay():
     assert pii.replace_entities(text, b"k", {}) == (text, [])
 
 
+@pytest.mark.parametrize("secret", ["1234567890", "AbCdEf0123456789", "ABCDEF99aabb", "Zx9-hello-World77"])
+def test_secrets_keep_digits_case_and_alphabet(secret):
+    text = f'password = "{secret}" and again password = "{secret}".'
+    done, kinds = pii.replace_entities(text, b"k", {})
+    first, second = re.findall(r'"([^"]*)"', done)
+    shape = lambda t: "".join("9" if c.isdigit() else "A" if c.isupper() else "a" if c.islower() else c for c in t)
+    assert kinds == ["secret"] * 2 and first == second != secret and shape(first) == shape(secret)
+    assert not re.fullmatch("[0-9a-fA-F]+", secret) or re.fullmatch("[0-9a-fA-F]+", first)
+
+
 def test_surrogates_are_distinct_and_not_entities(make_docs):
     names = [n for kind in ("latin:f", "latin:m") for n in pii.GIVEN[kind].split()]
     families = [f"Fam{chr(97 + i % 26)}{chr(97 + i // 26)}ilo" for i in range(60)]

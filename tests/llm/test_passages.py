@@ -138,6 +138,17 @@ def test_contamination_matches_brute_force(spark, make_docs, part_bytes):
     assert rows_of(clean.select("doc_id")) == [(3,), (4,), (5,), (6,)]
 
 
+def test_pieces_hold_every_window_once():
+    rng = random.Random(9)
+    for n in (0, 1, 9, 10, 11, 60):
+        text = " ".join("w" * rng.randint(1, 9) + str(i) for i in range(n)).encode()
+        for size in (1, 20, 10**6):
+            pieces = decontamination.pieces_of(text, size)
+            found = [w for piece in pieces for w in decontamination.windows_of(piece)]
+            assert sorted(found) == sorted(decontamination.windows_of(text))
+            assert size > 1 or len(pieces) == len(found)
+
+
 def test_places_point_into_the_original_text(spark, make_docs):
     bench = spark.createDataFrame(ITEMS[:2], "item_id string, text string")
     text = "Öl — ok. Short,\tITEM!"
