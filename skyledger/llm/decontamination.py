@@ -19,7 +19,7 @@ send_code_with_tasks(__name__)
 
 #: Consecutive words of an item that make a window.
 WINDOW_WORDS = 10
-#: Bytes of item text in one automaton, which takes some 400 times as many bytes in a worker.
+#: Bytes of item text in one automaton, which takes some 500 times as many bytes in a worker.
 #: More items are scanned for by several automata; items are cut to pieces of a share of it.
 PART_BYTES = 1 << 20
 PIECES = 16
