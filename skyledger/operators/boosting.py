@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.categories import attach_codes, category_codes
 from skyledger.schema import MODEL_CATEGORICAL, MODEL_NUMERIC
-from skyledger.session import materialise, shared_folder
+from skyledger.session import dealt_evenly, materialise, shared_folder
 
 # The model's parameters.
 MAX_DEPTH = 6
@@ -68,9 +68,10 @@ def fit_delay_model(
     )
     if weight:
         trees_stage = trees_stage.setWeightCol(weight)
-    # Stored, so that the boosting rounds read numbers instead of joining again.
+    # Stored, so that the boosting rounds read numbers instead of joining again, and dealt
+    # evenly, as each round passes several times over what its tasks hold in memory.
     coded = materialise(with_codes(train, codes, categorical), "coded-rows")
-    return DelayModel(Pipeline(stages=[assembler, trees_stage]).fit(coded), codes)
+    return DelayModel(Pipeline(stages=[assembler, trees_stage]).fit(dealt_evenly(coded)), codes)
 
 
 def score_flights(model: DelayModel, df: DataFrame, categorical=MODEL_CATEGORICAL) -> DataFrame:

@@ -19,7 +19,7 @@ from skyledger.operators.features import (
 from skyledger.operators.metrics import classification_metrics, roc_auc
 from skyledger.plans.clean import CLEANED_PATH
 from skyledger.schema import MODEL_CATEGORICAL, MODEL_NUMERIC
-from skyledger.session import materialise
+from skyledger.session import dealt_evenly, materialise
 from skyledger.sinks.run_log import append_run, run_entries
 from skyledger.sources.tables import read_table
 
@@ -62,7 +62,7 @@ def train_and_evaluate(
         train, numeric, categorical, weight="weight",
         label_rows=table if fit_on == "all" else None, **model_options,
     )
-    scored = materialise(boosting.score_flights(model, test, categorical), "scored-rows")
+    scored = materialise(boosting.score_flights(model, dealt_evenly(test), categorical), "scored-rows")
     area = roc_auc(scored, weight="weight").first()["roc_auc"]
     metrics = classification_metrics(scored, weight="weight").withColumn(
         "roc_auc", F.lit(area).cast("double")

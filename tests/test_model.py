@@ -8,8 +8,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skyledger import operators as op
+from skyledger.operators import boosting
 from skyledger.operators.features import rows_without_hour
 from skyledger.plans.training import run_training, train_and_evaluate, training_table
+from skyledger.session import dealt_evenly, materialise
 from skyledger.sinks import read_runs
 
 QUICK = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -203,3 +205,18 @@ def test_stored_nodes_give_the_same_scores(spark, tmp_path):
     both = op.score_flights(op.load_model(path), op.score_by_walking(spark, path, test)).collect()
     assert len({r.probability for r in both}) > 5
     assert all(math.isclose(r.probability, r.walked, abs_tol=1e-12) for r in both)
+
+
+def test_boosting_and_scoring_get_slices_of_equal_size(spark, monkeypatch):
+    """A table in one small file, which a scan reads in one task."""
+    dealt, fit, score = [], boosting.Pipeline.fit, boosting.score_flights
+    monkeypatch.setattr(boosting.Pipeline, "fit", lambda self, df: dealt.append(df) or fit(self, df))
+    monkeypatch.setattr(boosting, "score_flights", lambda model, df, *rest: dealt.append(df) or score(model, df, *rest))
+    table = materialise(training_table(planted(spark)).coalesce(1), "one-file")
+    train_and_evaluate(table, trees=1, max_depth=2)
+    assert len(dealt) == 2
+    for df in dealt:
+        sizes = df.rdd.glom().map(len).collect()
+        assert len(sizes) >= 2 * spark.sparkContext.defaultParallelism and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    sizes = dealt_evenly(table, slice_rows=50).rdd.glom().map(len).collect()
+    assert sum(sizes) == table.count() and max(sizes) <= 60
