@@ -380,3 +380,26 @@ def test_files_of_several_headers_are_no_record_stream(spark, tmp_path):
     (tmp_path / "b.csv").write_text("y\n1\n")
     with pytest.raises(MissingColumnsError, match="several headers"):
         record_stream(spark, str(tmp_path), str(tmp_path / "_state"), 5)
+
+
+def test_a_batch_takes_stretches_of_several_files_and_is_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    from skyledger.sources import paced_records as module
+
+    monkeypatch.setattr(module, "STRETCH_RECORDS", 10)
+    monkeypatch.setattr(module, "TASK_RECORDS", 20)
+    raw, topic, state = tmp_path / "raw", tmp_path / "topic", tmp_path / "state"
+    records_file(raw, "a.csv", 25)
+    records_file(raw, "b.csv", 65)
+    run_publish(spark, str(raw), format="text", path=str(topic), records_per_batch=60, checkpoint=str(state))
+    assert sorted(p.name for p in (topic / "_spark_metadata").glob("[0-9]*")) == ["0", "1"]
+    assert len(batch_sizes(topic)) > 2 and max(batch_sizes(topic)) <= 30
+    sent = [json.loads(r.value) for r in spark.read.text(str(topic)).collect()]
+    assert len(sent) == 90 == len({r["record_id"] for r in sent})
+    assert all(r["record_id"].endswith(f".csv:{r['FlightNum']}") for r in sent)
+    reader = module.StretchReader(str(state / "records"), 60)
+    first, end = reader.read(reader.initialOffset())
+    first = list(first)
+    assert sum(rows for _, _, rows, _, _ in first) == 55 and {path.rpartition("/")[2] for path, *_ in first} == {"a.csv", "b.csv"}
+    assert list(reader.readBetweenOffsets(reader.initialOffset(), end)) == first
+    rest, last = reader.read(end)
+    assert sum(rows for _, _, rows, _, _ in rest) == 35 and list(reader.read(last)[0]) == []
