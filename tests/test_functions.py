@@ -105,3 +105,13 @@ def test_split_bucket_depends_on_the_key_only(spark):
     assert rows_of(df.repartition(13).select("id", bucket)) == once
     sizes = [sum(1 for _, b in once if b == i) for i in range(10)]
     assert min(sizes) > 140 and sum(sizes) == 2000
+
+
+def test_missing_tokens_never_meet_a_cast(spark):
+    """A cast that fails raises an error within Spark; a column of tokens would raise one per row."""
+    cast = fn.to_whole(F.col("x"))
+    df = one_column(spark, [*fn.MISSING_TOKENS, None, "7"])
+    assert [r[0] for r in df.select(cast).collect()] == [None] * (len(fn.MISSING_TOKENS) + 1) + [7]
+    plan = df.select(cast.alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    project = next(line for line in plan.splitlines() if " AS n" in line)
+    assert 0 <= project.find("INSET") < project.find("cast(")
