@@ -1,4 +1,4 @@
-"""The gradient-boosted delay classifier, on MLlib."""
+"""The gradient-boosted delay classifier, a model of MLlib."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.categories import attach_codes, category_codes
+from skyledger.operators.tree_growth import GrownTrees
 from skyledger.schema import MODEL_CATEGORICAL, MODEL_NUMERIC
 from skyledger.session import dealt_evenly, materialise, shared_folder
 
@@ -71,7 +72,7 @@ def fit_delay_model(
     # Stored, so that the boosting rounds read numbers instead of joining again, and dealt
     # evenly, as each round passes several times over what its tasks hold in memory.
     coded = materialise(with_codes(train, codes, categorical), "coded-rows")
-    return DelayModel(Pipeline(stages=[assembler, trees_stage]).fit(dealt_evenly(coded)), codes)
+    return DelayModel(Pipeline(stages=[assembler, GrownTrees(trees_stage)]).fit(dealt_evenly(coded)), codes)
 
 
 def score_flights(model: DelayModel, df: DataFrame, categorical=MODEL_CATEGORICAL) -> DataFrame:
